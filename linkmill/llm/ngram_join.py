@@ -8,9 +8,12 @@ Plan
        (leader, member) become candidates, never all pairs of a bucket.
     3. Candidates are verified on their full n-gram sets.
     4. Connected components by alternating large-star and small-star steps.
-    5. Buckets that still hold more than one component are joined again, members
-       across components only, so that no similar pair that shares a bucket stays
-       apart: every such pair ends up in one class.
+    5. Buckets that still hold more than one component get a few rounds of pivots:
+       members outside a bucket's largest component are compared with some members of
+       it, which joins most of what belongs together at a linear price.
+    6. What then is still apart in a bucket is compared exactly, across components
+       only, in blocks inside tasks that give out links alone.  So no similar pair that
+       shares a bucket stays apart: every such pair ends up in one class.
 
 Nothing is collected; hot buckets and hot nodes only meet aggregates with partial
 sums and joins that adaptive execution can split.
@@ -26,6 +29,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +41,9 @@ NGRAM = 5
 THRESHOLD = 0.8
 RECALL = 0.9999
 MAX_HASHES = 128
+PIVOTS = 4
+ROUNDS = 3
+CHUNK = 2048
 
 
 def band_plan(threshold: float = THRESHOLD, recall: float = RECALL, max_hashes: int = MAX_HASHES) -> tuple[int, int]:
@@ -152,6 +159,62 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, threshold: float) -> D
     return joined.mapInArrow(run, "a binary, b binary, jaccard double")
 
 
+def _pivot_pairs(placed: DataFrame, turn: int) -> DataFrame:
+    """For each bucket of more than one component: its members outside the largest one, with ``PIVOTS`` members of that.
+
+    As many pairs as members times ``PIVOTS`` at most; each turn draws other pivots.
+    """
+    pivots = [F.min(F.struct(F.xxhash64("node", F.lit(turn * PIVOTS + k)).alias("h"), F.col("node").alias("p"))).alias(f"p{k}") for k in range(PIVOTS)]
+    parts = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("size"), *pivots)
+    largest = parts.groupBy("bucket").agg(F.max(F.struct("size", "root", *[F.col(f"p{k}.p").alias(f"p{k}") for k in range(PIVOTS)])).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    outside = placed.join(largest, "bucket").where(F.col("root") != F.col("top.root"))
+    pairs = outside.select("node", F.explode(F.array_distinct(F.array(*[F.col(f"top.p{k}") for k in range(PIVOTS)]))).alias("p"))
+    return pairs.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
+
+
+def _links_across(block: pd.DataFrame, n: int, threshold: float) -> pd.DataFrame:
+    """All links between members of different components, of one chunk or of two chunks with each other."""
+    block = block.sort_values("node", ignore_index=True)
+    grams: list[np.ndarray] = []
+    for b in words.blocks(pa.array(block["text"], pa.string())):
+        flat, at = words.shingles(b.words, b.at, n)
+        grams += [np.unique(flat[x:y]) for x, y in zip(at[:-1], at[1:], strict=True)]
+    size = np.array([len(g) for g in grams])
+    _, gram = np.unique(np.concatenate(grams), return_inverse=True)
+    owner = np.repeat(np.arange(len(grams)), size)
+    order = np.argsort(gram, kind="stable")
+    holders, first = owner[order], np.searchsorted(gram[order], np.arange(int(gram.max()) + 2))
+    at = np.concatenate(([0], np.cumsum(size)))
+    root = pd.factorize(block["root"])[0]
+    chunk = block["chunk"].to_numpy()
+    two = block["i"].iat[0] != block["j"].iat[0]
+    largest = np.bincount(root).argmax()
+    out = []
+    for x in np.flatnonzero(root != largest):  # a pair across components has a member outside the largest one
+        own = gram[at[x] : at[x + 1]]
+        shared = np.bincount(np.concatenate([holders[first[g] : first[g + 1]] for g in own]), minlength=len(grams))
+        jaccard = shared / (size + size[x] - shared)
+        ok = (jaccard >= threshold) & (root != root[x]) & ((root == largest) | (np.arange(len(grams)) > x))
+        if two:
+            ok &= chunk != chunk[x]
+        out += [(block["node"][min(x, y)], block["node"][max(x, y)], float(jaccard[y])) for y in np.flatnonzero(ok)]
+    return pd.DataFrame(out, columns=["a", "b", "jaccard"])
+
+
+def _block_links(placed: DataFrame, texts: DataFrame, n: int, threshold: float) -> DataFrame:
+    """The links between different components of a bucket, found exactly, in blocks of two chunks of at most about ``CHUNK`` members.
+
+    This is for what the pivots left: pairs are compared inside a task and only links come out.
+    """
+    parts = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("size"))
+    split = parts.groupBy("bucket").agg(F.sum("size").alias("members"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    chunks = F.ceil(F.col("members") / CHUNK).cast("int")
+    left = placed.join(split, "bucket").select("bucket", "node", "root", F.pmod(F.xxhash64("node", F.lit(-1)), chunks).cast("int").alias("chunk"), chunks.alias("chunks"))
+    left = left.withColumn("c", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    keyed = left.select("bucket", F.least("chunk", "c").alias("i"), F.greatest("chunk", "c").alias("j"), "chunk", "node", "root")
+    return keyed.join(texts, "node").groupBy("bucket", "i", "j").applyInPandas(lambda block: _links_across(block, n, threshold), "a binary, b binary, jaccard double")
+
+
 def connected_components(edges: DataFrame, name: str = "components") -> tuple[DataFrame, list[str]]:
     """(node, root) for every node of the undirected edges (a, b); root is the component's least node.
 
@@ -213,22 +276,27 @@ def ngram_join(
     links, links_path = store.write_table(_verified(star, texts, n, threshold), "links")
     roots, root_paths = connected_components(links)
 
-    placed = members.select("bucket", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    split = placed.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("bucket")
-    left, left_path = store.write_table(placed.join(split, "bucket"), "apart")
-    other = left.select("bucket", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    apart = left.join(other, "bucket").where("root < root_b").select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
-    apart, apart_path = store.write_table(apart.join(star, ["a", "b"], "left_anti"), "across")
-    paths = [members_path, star_path, texts_path, left_path, apart_path]
-    if not apart.isEmpty():
-        more, more_path = store.write_table(_verified(apart, texts, n, threshold), "links")
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            old = root_paths
-            roots, root_paths = connected_components(links)
-            paths += old
-        else:
-            paths.append(more_path)
+    paths = [members_path, star_path, texts_path]
+    in_bucket = members.select("bucket", "node")
+    for turn in range(ROUNDS):
+        placed = in_bucket.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        pairs, pairs_path = store.write_table(_pivot_pairs(placed, turn), "pivots")
+        more, more_path = store.write_table(_verified(pairs, texts, n, threshold), "links")
+        paths += [pairs_path, more_path]
+        if more.isEmpty():
+            break
+        links, links_path = store.write_table(links.unionByName(more), "links")
+        paths += root_paths
+        roots, root_paths = connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more.select("a", "b")))
+    placed = in_bucket.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rest, rest_path = store.write_table(_block_links(placed, texts, n, threshold), "links")
+    if rest.isEmpty():
+        paths.append(rest_path)
+    else:
+        links = links.unionByName(rest)
+        paths += root_paths
+        roots, root_paths = connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(rest.select("a", "b")))
+    links = links.dropDuplicates(["a", "b"])
 
     ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node")))
     degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
