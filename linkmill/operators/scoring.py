@@ -150,7 +150,8 @@ def apply_score(df: DataFrame) -> DataFrame:
     capped = F.when(has_name, F.least("raw_score", cap)).otherwise(F.col("raw_score"))
     capped = F.when(F.size("hard_contradictions") > 0, F.least(capped, F.lit(84.0))).otherwise(capped)
     rounded = {a: F.round(b, 2) for a, b in (("name_score", "name_raw"), ("name_wratio", "name_wratio"), ("name_token_set", "name_token_set"), ("name_token_sort", "name_token_sort"), ("street_score", "street_sim"), ("city_score", "city_sim"))}
-    return out.withColumns({"score": F.round(F.greatest(F.lit(0.0), F.least(F.lit(100.0), capped)), 2), **rounded})
+    # Nine decimals first: the last bits of a sum must not decide a tie.
+    return out.withColumns({"score": F.round(F.round(F.greatest(F.lit(0.0), F.least(F.lit(100.0), capped)), 9), 2), **rounded})
 
 
 def eligible_certain(config: MatchConfig) -> Column:

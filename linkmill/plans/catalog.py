@@ -348,14 +348,14 @@ f3 AS (SELECT *, CASE WHEN w = 0 THEN 0 ELSE p / w END * (0.58e0 + 0.42e0 * leas
   + CASE status WHEN 'AC' THEN 1 WHEN '' THEN 0 ELSE -1 END AS raw,
   CAST(NOT same_name AND name_raw < 50 AND has_name AS INT) + CAST(postcode_match = 'mismatch' AS INT) + CAST(house_match = 'mismatch' AS INT) AS hard,
   (name_raw >= 90 AND postcode_match = 'exact' AND house_match IN ('exact', 'same_numeric_base') AND street_sim >= 75) OR (name_norm = matched_name_norm AND frequency = 1 AND street_sim >= 88 AND (postcode_match = 'exact' OR city_sim >= 95)) OR (name_raw >= 87 AND street_sim >= 94 AND house_match = 'exact' AND postcode_match = 'exact') AS strong FROM f2),
-scored AS (SELECT *, round(greatest(0.0e0, least(100.0e0, least(raw, CASE WHEN NOT has_name THEN 1000 WHEN name_raw < 50 THEN 60 WHEN name_raw < 62 THEN 74 WHEN name_raw < 75 THEN 86 WHEN name_raw < 82 THEN 91 WHEN name_raw < 86 THEN 94 WHEN name_raw < 90 THEN 97 ELSE 1000 END, CASE WHEN hard > 0 THEN 84 ELSE 1000 END))), 2) AS score FROM f3)
+scored AS (SELECT *, CAST(round(CAST(greatest(0.0e0, least(100.0e0, least(raw, CASE WHEN NOT has_name THEN 1000 WHEN name_raw < 50 THEN 60 WHEN name_raw < 62 THEN 74 WHEN name_raw < 75 THEN 86 WHEN name_raw < 82 THEN 91 WHEN name_raw < 86 THEN 94 WHEN name_raw < 90 THEN 97 ELSE 1000 END, CASE WHEN hard > 0 THEN 84 ELSE 1000 END))) AS DECIMAL(18, 9)), 2) AS DOUBLE) AS score FROM f3)
 """
 
 
-@_query(f"WITH {_SCORED} SELECT source_row_number, enterprise_number, round(score, 1) AS score, hard AS hard_contradictions, strong AS strong_evidence FROM scored")
+@_query(f"WITH {_SCORED} SELECT source_row_number, enterprise_number, score, hard AS hard_contradictions, strong AS strong_evidence FROM scored")
 def score_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = scoring.apply_score(_features(spark, sf_dir))
-    return df.select("source_row_number", "enterprise_number", F.round("score", 1).alias("score"), F.size("hard_contradictions").alias("hard_contradictions"), "strong_evidence")
+    return df.select("source_row_number", "enterprise_number", "score", F.size("hard_contradictions").alias("hard_contradictions"), "strong_evidence")
 
 
 @_query(f"""WITH {D.BASE} SELECT source_row_number, id, CASE WHEN c.house_norm = '' AND r.house_norm = '' THEN 'both_missing' WHEN c.house_norm = '' THEN 'input_missing' WHEN r.house_norm = '' THEN 'reference_missing' WHEN c.house_norm = r.house_norm THEN 'exact' WHEN c.house_base = r.house_base THEN 'same_numeric_base' ELSE 'mismatch' END AS house_match,

@@ -153,7 +153,8 @@ def digits_sql(x: str) -> str:
 
 def number_sql(x: str) -> str:
     d = f"CASE WHEN length({digits_sql(x)}) = 9 THEN '0' || {digits_sql(x)} ELSE {digits_sql(x)} END"
-    return f"(SELECT CASE WHEN length(d) = 10 THEN substring(d, 1, 4) || '.' || substring(d, 5, 3) || '.' || substring(d, 8, 3) ELSE '' END FROM (SELECT {d} AS d))"
+    d = f"({d})"
+    return f"CASE WHEN length({d}) = 10 THEN substring({d}, 1, 4) || '.' || substring({d}, 5, 3) || '.' || substring({d}, 8, 3) ELSE '' END"
 
 
 def valid_sql(x: str) -> str:
