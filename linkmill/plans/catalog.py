@@ -360,11 +360,11 @@ def score_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(f"""WITH {D.BASE} SELECT source_row_number, id, CASE WHEN c.house_norm = '' AND r.house_norm = '' THEN 'both_missing' WHEN c.house_norm = '' THEN 'input_missing' WHEN r.house_norm = '' THEN 'reference_missing' WHEN c.house_norm = r.house_norm THEN 'exact' WHEN c.house_base = r.house_base THEN 'same_numeric_base' ELSE 'mismatch' END AS house_match,
 CASE WHEN c.box_norm = '' AND r.box_norm = '' THEN 'both_missing' WHEN c.box_norm = '' THEN 'input_missing' WHEN r.box_norm = '' THEN 'reference_missing' WHEN c.box_norm = r.box_norm THEN 'exact' ELSE 'mismatch' END AS box_match
-FROM contacts c JOIN addresses r ON c.source_row_number % 50 = r.id % 50 AND c.street_core = r.street_core""")
+FROM contacts c JOIN addresses r ON c.city_norm = r.city_norm AND c.street_core = r.street_core""")
 def score_equality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = D.derived_registry(spark, sf_dir).address.select("id", "street_core", F.col("house_number_norm").alias("h"), F.col("box_norm").alias("b"))
-    c = D.derived_contacts(spark, sf_dir).select("source_row_number", "street_core", "house_norm", "box_norm")
-    both = c.join(own, (c["source_row_number"] % 50 == own["id"] % 50) & (c["street_core"] == own["street_core"]))
+    own = D.derived_registry(spark, sf_dir).address.select("id", "street_core", "city_norm", F.col("house_number_norm").alias("h"), F.col("box_norm").alias("b"))
+    c = D.derived_contacts(spark, sf_dir).select("source_row_number", "street_core", "city_norm", "house_norm", "box_norm")
+    both = c.join(own, ["street_core", "city_norm"])
     return both.select("source_row_number", "id", scoring.compare(F.col("house_norm"), F.col("h"), True)[1].alias("house_match"), scoring.compare(F.col("box_norm"), F.col("b"))[1].alias("box_match"))
 
 
