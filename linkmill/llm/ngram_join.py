@@ -14,6 +14,9 @@ Plan
     6. What then is still apart in a bucket is compared exactly, across components
        only, in blocks inside tasks that give out links alone.  So no similar pair that
        shares a bucket stays apart: every such pair ends up in one class.
+    7. Each class is compared with itself exactly, in blocks inside tasks that give out
+       partial counts a node, not pairs: the number of links of each text.  The links
+       themselves come from the same blocks, when they are asked for.
 
 Nothing is collected; hot buckets and hot nodes only meet aggregates with partial
 sums and joins that adaptive execution can split.
@@ -44,6 +47,10 @@ MAX_HASHES = 128
 PIVOTS = 4
 ROUNDS = 3
 CHUNK = 2048
+#: Members and bytes of text of a chunk of a class whose links are counted.
+COUNT_CHUNK = 256
+COUNT_BYTES = 8_000_000
+SLAB = 4096
 
 
 def band_plan(threshold: float = THRESHOLD, recall: float = RECALL, max_hashes: int = MAX_HASHES) -> tuple[int, int]:
@@ -172,13 +179,19 @@ def _pivot_pairs(placed: DataFrame, turn: int) -> DataFrame:
     return pairs.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
 
 
-def _links_across(block: pd.DataFrame, n: int, threshold: float) -> pd.DataFrame:
-    """All links between members of different components, of one chunk or of two chunks with each other."""
-    block = block.sort_values("node", ignore_index=True)
+def _gram_sets(texts: pd.Series, n: int) -> list[np.ndarray]:
+    """The distinct n-grams of each text."""
     grams: list[np.ndarray] = []
-    for b in words.blocks(pa.array(block["text"], pa.string())):
+    for b in words.blocks(pa.array(texts, pa.string())):
         flat, at = words.shingles(b.words, b.at, n)
         grams += [np.unique(flat[x:y]) for x, y in zip(at[:-1], at[1:], strict=True)]
+    return grams
+
+
+def _links_across(block: pd.DataFrame, n: int, threshold: float) -> pd.DataFrame:
+    """All links between members of different components, of one chunk or of two chunks with each other."""
+    block = block.sort_values("node", ignore_index=True)
+    grams = _gram_sets(block["text"], n)
     size = np.array([len(g) for g in grams])
     _, gram = np.unique(np.concatenate(grams), return_inverse=True)
     owner = np.repeat(np.arange(len(grams)), size)
@@ -215,6 +228,81 @@ def _block_links(placed: DataFrame, texts: DataFrame, n: int, threshold: float)
     return keyed.join(texts, "node").groupBy("bucket", "i", "j").applyInPandas(lambda block: _links_across(block, n, threshold), "a binary, b binary, jaccard double")
 
 
+def _links_within(block: pd.DataFrame, n: int, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers x and y and the similarity of every link of one chunk, or of two chunks with each other; each pair once."""
+    grams = _gram_sets(block["text"], n)
+    size = np.array([len(g) for g in grams])
+    _, gram = np.unique(np.concatenate(grams), return_inverse=True)
+    owner = np.repeat(np.arange(len(grams)), size)
+    chunk, i, j = block["chunk"].to_numpy(), block["i"].iat[0], block["j"].iat[0]
+    left, right = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
+    shared = np.zeros((len(left), len(right)), np.int64)
+    held = np.bincount(gram)
+    often = held * 16 > len(grams)
+    # N-grams of many members: matrix products, exact because no sum reaches 2**24.
+    column = np.cumsum(often) - 1
+    place = np.flatnonzero(often[gram] & (held[gram] > 1))
+    place = place[np.argsort(column[gram[place]], kind="stable")]
+    columns = column[gram[place]]
+    for lo in range(0, int(often.sum()), SLAB):
+        some = slice(*np.searchsorted(columns, (lo, lo + SLAB)))
+        has = np.zeros((len(grams), SLAB), np.float32)
+        has[owner[place[some]], columns[some] - lo] = 1
+        shared += (has[left] @ has[right].T).astype(np.int64)
+    # The others: the lists of their holders.
+    rare = np.flatnonzero(~often[gram] & (held[gram] > 1))
+    order = rare[np.argsort(gram[rare], kind="stable")]
+    holders, first = owner[order], np.searchsorted(gram[order], np.arange(len(held) + 1))
+    at = np.searchsorted(owner[rare], np.arange(len(grams) + 1))
+    for k, x in enumerate(left):
+        own = gram[rare[at[x] : at[x + 1]]]
+        if len(own):
+            shared[k] += np.bincount(np.concatenate([holders[first[g] : first[g + 1]] for g in own]), minlength=len(grams))[right]
+    jaccard = shared / (size[left][:, None] + size[right] - shared)
+    ok = jaccard >= threshold
+    x, y = np.nonzero(np.triu(ok, 1) if i == j else ok)
+    return left[x], right[y], jaccard[x, y]
+
+
+def _class_blocks(roots: DataFrame, texts: DataFrame, least: int) -> DataFrame:
+    """(root, i, j, chunk, node, text): the members of each class of at least ``least`` nodes, in blocks of two chunks."""
+    nodes = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+    placed = nodes.join(texts, "node").select("root", "node", "text")
+    sizes = placed.groupBy("root").agg(F.count(F.lit(1)).alias("members"), F.sum(F.octet_length("text")).alias("bytes")).where(F.col("members") >= least)
+    chunks = F.greatest(F.ceil(F.col("members") / COUNT_CHUNK), F.ceil(F.col("bytes") / COUNT_BYTES)).cast("int")
+    sizes = sizes.select("root", chunks.alias("chunks"))
+    chunk = F.pmod(F.xxhash64("node", F.lit(-2)), F.col("chunks")).cast("int").alias("chunk")
+    cut = placed.join(sizes, "root").select("root", "node", "text", chunk, F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("c"))
+    return cut.select("root", F.least("chunk", "c").alias("i"), F.greatest("chunk", "c").alias("j"), "chunk", "node", "text")
+
+
+def link_counts(roots: DataFrame, texts: DataFrame, n: int, threshold: float) -> DataFrame:
+    """(node, n_links) of every node with links: exact, and without a row for each pair."""
+
+    def count(block: pd.DataFrame) -> pd.DataFrame:
+        x, y, _ = _links_within(block, n, threshold)
+        times = np.bincount(np.concatenate((x, y)), minlength=len(block))
+        return pd.DataFrame({"node": block["node"], "n": times})[times > 0]
+
+    blocks = _class_blocks(roots, texts, 3).groupBy("root", "i", "j").applyInPandas(count, "node binary, n long")
+    # The two nodes of a class of two have the one link that made it.
+    two = roots.groupBy("root").agg(F.count(F.lit(1)).alias("others"), F.min("node").alias("node")).where("others = 1")
+    two = two.select(F.explode(F.array("root", "node")).alias("node"), F.lit(1).cast("long").alias("n"))
+    return blocks.unionByName(two).groupBy("node").agg(F.sum("n").alias("n_links"))
+
+
+def all_links(roots: DataFrame, texts: DataFrame, n: int, threshold: float) -> DataFrame:
+    """(a, b, jaccard): every link inside a class, each once; as many rows as there are links."""
+
+    def pairs(block: pd.DataFrame) -> pd.DataFrame:
+        x, y, jaccard = _links_within(block, n, threshold)
+        nodes = block["node"].tolist()
+        ends = [(min(nodes[p], nodes[q]), max(nodes[p], nodes[q])) for p, q in zip(x.tolist(), y.tolist(), strict=True)]
+        return pd.DataFrame({"a": [a for a, _ in ends], "b": [b for _, b in ends], "jaccard": jaccard})
+
+    return _class_blocks(roots, texts, 2).groupBy("root", "i", "j").applyInPandas(pairs, "a binary, b binary, jaccard double")
+
+
 def connected_components(edges: DataFrame, name: str = "components") -> tuple[DataFrame, list[str]]:
     """(node, root) for every node of the undirected edges (a, b); root is the component's least node.
 
@@ -256,10 +344,10 @@ def ngram_join(
     """(membership, links).
 
     membership: one row for each row of ``docs``: doc_id, node, class_key, class_id, n_links.
-    links: the verified pairs of different word sequences: a, b (nodes), jaccard.
-    Links inside a class that is already connected are not all listed (a group of g
-    near copies has g - 1 or a few more, not g squared); ``n_links`` counts the links
-    listed for the document's text.
+    links: the verified pairs of different word sequences: a, b (nodes), jaccard.  All
+    pairs of a class are compared, so a group of g near copies can have g squared / 2
+    of them; they are made only when the table is read.  ``n_links`` is the number of
+    links of the document's text, counted without making them.
     """
     spark = docs.sparkSession
     bands, rows = band_plan(threshold, recall, max_hashes)
@@ -271,12 +359,12 @@ def ngram_join(
 
     source = docs.select(F.col(text_col).cast("string").alias("text"))
     needed = members.select("node").distinct()
-    texts, texts_path = store.write_table(with_node(source, "text", "node").where(F.col("node").isNotNull()).join(needed, "node", "left_semi").dropDuplicates(["node"]), "texts")
+    texts, _ = store.write_table(with_node(source, "text", "node").where(F.col("node").isNotNull()).join(needed, "node", "left_semi").dropDuplicates(["node"]), "texts")
 
     links, links_path = store.write_table(_verified(star, texts, n, threshold), "links")
     roots, root_paths = connected_components(links)
 
-    paths = [members_path, star_path, texts_path]
+    paths = [members_path, star_path, links_path]
     in_bucket = members.select("bucket", "node")
     for turn in range(ROUNDS):
         placed = in_bucket.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -285,22 +373,17 @@ def ngram_join(
         paths += [pairs_path, more_path]
         if more.isEmpty():
             break
-        links, links_path = store.write_table(links.unionByName(more), "links")
         paths += root_paths
         roots, root_paths = connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more.select("a", "b")))
     placed = in_bucket.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     rest, rest_path = store.write_table(_block_links(placed, texts, n, threshold), "links")
-    if rest.isEmpty():
-        paths.append(rest_path)
-    else:
-        links = links.unionByName(rest)
+    paths.append(rest_path)
+    if not rest.isEmpty():
         paths += root_paths
         roots, root_paths = connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(rest.select("a", "b")))
-    links = links.dropDuplicates(["a", "b"])
 
-    ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node")))
-    degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    per_node = roots.join(degree, "node", "left")
+    counts = link_counts(roots, texts, n, threshold)
+    per_node = counts.join(roots, "node", "left")
     placed = sig.select("doc_id", "node").join(per_node, "node", "left").withColumn("root", F.coalesce("root", "node"))
     placed, _ = store.write_table(placed, "placed")
     store.remove(spark, sig_path, *paths)
@@ -310,7 +393,7 @@ def ngram_join(
         .withColumn("class_id", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("class_id")))
         .select("doc_id", "node", F.col("root").alias("class_key"), "class_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
     )
-    return member_rows, links
+    return member_rows, all_links(roots, texts, n, threshold)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

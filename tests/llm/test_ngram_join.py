@@ -73,3 +73,28 @@ def test_plan_meets_recall():
     for threshold in (0.8, 0.9):
         bands, rows = J.band_plan(threshold, 0.999, 128)
         assert bands * rows <= 128 and 1 - (1 - threshold**rows) ** bands >= 0.999
+
+
+def test_links_of_a_large_group_equal_brute_force(spark):
+    import random
+    from collections import Counter
+
+    r = random.Random(11)
+    base = [f"b{i}" for i in range(100)]
+    texts = []
+    for k in range(400):
+        text = base[:]
+        for _ in range(1 + k % 4):
+            text[r.randrange(100)] = f"e{r.randrange(30)}"
+        texts.append(" ".join(text))
+    texts += ["one pair of short texts with a few words " + w for w in ("more here", "more")] + texts[:3]
+    sets = [grams(t) for t in texts]
+    want = {frozenset((texts[i], texts[j])) for j in range(len(texts)) for i in range(j) if texts[i] != texts[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    degree = Counter(t for pair in want for t in pair)
+    member, links = J.ngram_join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    rows = member.collect()
+    assert {q["doc_id"]: q["n_links"] for q in rows} == {i: degree[t] for i, t in enumerate(texts)}
+    text_of = {bytes(q["node"]): texts[q["doc_id"]] for q in rows}
+    got = [frozenset((text_of[bytes(q["a"])], text_of[bytes(q["b"])])) for q in links.collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert len(want) > 10 * len(set(texts))
