@@ -55,6 +55,8 @@ def _class(*first: str) -> str:
 
 #: White space as the library sees it; Python's split() has U+001C to U+001F besides.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0"
+#: Pieces can hold control characters, which byte-level BPE writes with other letters.
+CONTROL = re.compile("[\x00-\x08\x0e-\x1f\x7f]")
 ODD = re.compile("[\x1c-\x1f\u0250-\U0010ffff]|<\\|")
 
 
@@ -99,7 +101,7 @@ class PieceEncoder:
         if not text.isascii() and not unicodedata.is_normalized("NFC", text):
             text = unicodedata.normalize("NFC", text)
         text = self.cut(r"\g<0> ", text.lower()) + "\n"
-        if not text.isascii():
+        if not text.isascii() or CONTROL.search(text):
             text = text.encode().decode("latin-1").translate(self.letters)
         ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
         marks = np.array(list(map(len, text.split("\n")[:-1])), np.int64)

@@ -342,6 +342,23 @@ def test_tokens(odd_docs):
     assert token_store.token_output(odd_docs.limit(0)).count() == 0
 
 
+def test_control_characters_are_encoded_as_the_library_does():
+    encoder = token_store.PieceEncoder(token_store.tokenizer_path())
+
+    def want(t):
+        return [*encoder.library.encode(t, add_special_tokens=False).ids, 1]
+
+    def got(batch):
+        encoder.pieces.clear()
+        return [e.tolist() for e in encoder.encode(batch)]
+
+    texts = [t for c in map(chr, range(128)) for t in (c, f"!{c}!", f"a{c}b", f"one {c}{c} Two{c} 3")]
+    for t in texts:
+        assert got([t]) == [want(t)], repr(t)
+    for batch in (texts, [*texts, "\u00e9t\u00e9 \x01\x7f"]):
+        assert got(batch) == [want(t) for t in batch]
+
+
 def test_pieces_encode_as_the_library():
     e = token_store.PieceEncoder(token_store.tokenizer_path())
     texts = ["a\x1cb c", "Hello\x85x", "ab<|endoftext|>cd", "a ́b", "ΑΣ ΑΣ", "é É ² ½x 12,3 don't 'st’s İ ŉ ſ ß_a", "", "   ", "áb Éx", "ǅx", "日本 x", "it's we'll I'D"]
