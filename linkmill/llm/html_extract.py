@@ -61,6 +61,9 @@ HINT_OF = {w: k for k, ws in HINTS.items() for w in ws.split()}
 HINT_KINDS = list(HINTS)
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(?=[a-zA-Z/])[^>]*\Z", re.S)
+# Skipped elements that are not raw text: they may be unclosed, nested or, for svg, closed by its own slash.
+NESTED = frozenset("noscript template iframe svg select button".split())
+PAIRED = re.compile(rf"<!--.*?(?:-->|\Z)|<(script|style)(?=[\s/>])[^>]*>.*?</\1\s*>|<(/?)({'|'.join(sorted(NESTED))})(?=[\s/>])((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
 ATTRIBUTE = re.compile(r"(class|id|role|data-y)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 HIDDEN = re.compile(r"display\s*:\s*none|\bhidden\b|aria-hidden\s*=\s*[\"']?true", re.I)
 SPACES = re.compile(r"\s+")
@@ -86,6 +89,22 @@ class Tree:
     blocks: list[tuple[int, str]] = field(default_factory=list)  # (node, text)
 
 
+def closings(page: str) -> dict[int, int]:
+    """Where each closed element of ``NESTED`` ends, by the end of its start tag; unclosed ones are left out."""
+    ends: dict[int, int] = {}
+    open_tags: dict[str, list[int]] = {}
+    for m in PAIRED.finditer(page):
+        if m[3]:
+            tag = m[3].lower()
+            starts = open_tags.setdefault(tag, [])
+            if m[2]:
+                if starts:
+                    ends[starts.pop()] = m.end()
+            elif not (tag == "svg" and m[4].endswith("/")):
+                starts.append(m.end())
+    return ends
+
+
 def parse(page: str) -> Tree:
     """Block tree of a page, lenient as browsers are."""
     t = Tree()
@@ -114,6 +133,7 @@ def parse(page: str) -> Tree:
     stack: list[tuple[str, int]] = [("", 0)]  # (tag, block node) of the open elements
     pending: list[str] = []
     links = 0
+    closed: dict[int, int] | None = None
 
     def flush(owner: int) -> None:
         if pending:
@@ -161,7 +181,11 @@ def parse(page: str) -> Tree:
             said(" ")
             continue
         if tag in SKIP:
-            if tag in RAW or tag in ("noscript", "template", "iframe", "svg", "select", "button", "head"):
+            if tag in NESTED:
+                if closed is None:
+                    closed = closings(page)
+                at = closed.get(at, at)
+            elif tag in RAW or tag == "head":
                 end = re.compile(rf"</{tag}\s*>|<body\b" if tag == "head" else rf"</{tag}\s*>", re.I).search(page, at)
                 if end is None:
                     at = n if tag != "head" else at

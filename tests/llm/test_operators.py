@@ -181,6 +181,23 @@ def test_extraction(spark):
     assert html.unescape("&amp;") == "&"
 
 
+def test_unclosed_and_self_closed_elements_lose_no_text():
+    def text(page):
+        return " ".join(t for _, t in html_extract.parse(page).blocks)
+
+    article = "<p>All of the article is here.</p>"
+    for start in ("<svg/>", '<svg class="i" />', "<math/>", "<svg>", "<button>", "<select>", "<template>", "<noscript>", '<iframe src="x">'):
+        assert text(start + article).endswith("All of the article is here."), start
+    for tag in ("button", "select", "svg", "template"):
+        end = f"<{tag}>drop</{tag}>"
+        assert text(f"<{tag}>{article}{end}<p>End.</p>") == "All of the article is here. End.", tag
+        assert text(f"{end}{article}<{tag}>a{end}b</{tag}><p>End.</p>") == "All of the article is here. End.", tag
+    assert text(f'<svg/>{article}<svg><path d="M1"/>no</svg>') == "All of the article is here."
+    assert text(f"<svg><!-- <svg> --><style>svg > a {{}}</style><script>'<svg>'</script>no</svg>{article}") == "All of the article is here."
+    assert text(f"<svg><title>icon</svg>{article}<svg><style>a</svg>") == "All of the article is here."
+    assert text(f"{article}<script>var a = 1;") == "All of the article is here."
+
+
 # ---- decontamination ------------------------------------------------------------
 
 
