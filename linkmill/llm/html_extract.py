@@ -105,8 +105,8 @@ def closings(page: str) -> dict[int, int]:
     return ends
 
 
-def parse(page: str) -> Tree:
-    """Block tree of a page, lenient as browsers are."""
+def parse(page: str, labelled: bool = True) -> Tree:
+    """Block tree of a page, lenient as browsers are; ``labelled`` reads the training pages' data-y."""
     t = Tree()
 
     def node(parent: int, tag: str, attributes: str) -> int:
@@ -116,7 +116,7 @@ def parse(page: str) -> Tree:
             for m in ATTRIBUTE.finditer(attributes):
                 value = m[2] or m[3] or m[4] or ""
                 if m[1].lower() == "data-y":
-                    label = int(value)
+                    label = int(value) if labelled else label
                 else:
                     found.update(HINT_OF[w] for w in re.split(r"[^a-z]+", value.lower()) if w in HINT_OF)
         t.parent.append(parent)
@@ -323,7 +323,7 @@ def train(count: int = TRAIN_PAGES, steps: int = STEPS) -> tuple[np.ndarray, np.
 
 def extract_texts(pages: list[str], model: tuple[np.ndarray, np.ndarray]) -> list[str]:
     w, pair = model
-    trees = [parse(p) for p in pages]
+    trees = [parse(p, labelled=False) for p in pages]
     if not trees:
         return []
     x, parent, depth, edge = features(trees)

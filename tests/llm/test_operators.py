@@ -198,6 +198,12 @@ def test_unclosed_and_self_closed_elements_lose_no_text():
     assert text(f"{article}<script>var a = 1;") == "All of the article is here."
 
 
+def test_labels_are_read_from_training_pages_only():
+    page = '<html><body data-y="auto"><div data-y="">%s</div></body></html>' % ("<p>A long enough sentence of the article, with its end.</p>" * 5)
+    plain = page.replace(' data-y="auto"', "").replace(' data-y=""', "")
+    assert html_extract.extract_texts([page, plain], html_extract.model())[0] == html_extract.extract_texts([plain], html_extract.model())[0] != ""
+
+
 # ---- decontamination ------------------------------------------------------------
 
 
