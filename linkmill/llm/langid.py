@@ -269,6 +269,10 @@ def held_out(id_col: Column, folds: int = FOLDS) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string")) % folds == 0, F.lit(True))
 
 
+#: Share of the way from chance to certainty that an accepted row's score has come.
+ABOVE_CHANCE = 1 / 3
+
+
 def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows_per_language: int = ROWS_PER_LANGUAGE, max_chars: int = MAX_CHARS) -> tuple[list[str], list[str]]:
     """A bounded sample of labelled rows outside the held-out fold, as many of each language."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
@@ -324,8 +328,14 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     return predict(rows, model, "text", ["doc_id"]).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-def accepted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` whose language is recognised with a score of ``least`` or more."""
+def least_score(languages: int, above: float = ABOVE_CHANCE) -> float:
+    """The score that lies ``above`` of the way from chance, one in ``languages``, to 1."""
+    chance = 1 / max(1, languages)
+    return chance + above * (1 - chance) - 1e-6  # a single language always scores 1, but for rounding
+
+
+def accepted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", above: float = ABOVE_CHANCE) -> DataFrame:
+    """The rows of ``docs`` whose language is recognised with a score of ``least_score`` of the learned languages or more."""
     model = train(*training_sample(docs, id_col, text_col, lang_col))
     names = {"lang_pred": "lang_pred", "score": "score"}
     clash = [c for c in docs.columns if c.lower() in names]
@@ -333,7 +343,7 @@ def accepted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     for c in clash:  # the result's own names must be free
         rows = rows.withColumnRenamed(c, f"__kept_{c}")
     out = predict(rows, model, f"__kept_{text_col}" if text_col in clash else text_col)
-    out = out.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).drop("lang_pred", "score")
+    out = out.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score(len(model.languages), above))).drop("lang_pred", "score")
     for c in clash:
         out = out.withColumnRenamed(f"__kept_{c}", c)
     return out

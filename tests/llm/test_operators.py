@@ -273,6 +273,22 @@ def test_forward_backward_equals_plain_sums():
             assert np.allclose(got[a + k], m / m.sum())
 
 
+def test_acceptance_is_relative_to_the_number_of_languages(spark):
+    for languages in (1, 2, 3, 4, 12):
+        chance = 1 / languages
+        assert langid.least_score(languages) == pytest.approx(chance + (1 - chance) / 3, abs=1e-5)
+    assert langid.least_score(1) < 1
+    import random
+
+    r = random.Random(4)
+    words_of = {"xx": "aba abo uba oba abu", "yy": "kik kiki ikk kkik iki"}
+    rows = [(k, " ".join(r.choice(words_of[lang].split()) for _ in range(30)), lang) for k in range(80) for lang in words_of]
+    rows += [(1000, " ".join(t for _ in range(20) for t in ("aba oba ubo kik ikk kiki").split()), None)]  # as much of either
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {q["doc_id"] for q in langid.accepted(docs).collect()}
+    assert kept == set(range(80))
+
+
 def test_accepted_keeps_columns(odd_docs):
     out = langid.accepted(odd_docs)
     assert out.columns == odd_docs.columns and out.where("text is null or text = ''").count() == 0 and out.count() > 30
