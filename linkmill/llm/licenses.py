@@ -1,19 +1,23 @@
 """License scans with a positional rare-token index.
 
-The index holds, for every word of the licence templates, its postings (template,
-position).  The words' document frequencies are counted over all documents, which
-makes the words' IDF.  Of each file, only its highest-IDF licence words are looked up:
-for every template the ``ANCHORS`` rarest of its words.  Each occurrence of such a
-word at place p of the file, with a posting at place q of a template, proposes the
-alignment p - q; the template's other words are intersected at their places relative
-to it.  An alignment counts if the agreeing share of the template's words reaches
-``AGREE`` and each mandatory key phrase stands whole at its place.
-
-Base phrases are templates that consist of their key phrase alone, so every place
-where one stands is found through its rarest word, whichever that is in the corpus.
+The index holds, for every word of the templates' mandatory key phrases, its postings
+(template, position).  The words' document frequencies are counted over all documents,
+which makes the words' IDF.  Of each file, only its highest-IDF licence words are looked
+up: of every template whose key words the file all has, the rarest of them (ties: the one
+that stands in the file least often).  Each occurrence of such a word at place p of the
+file, with a posting at place q of a template, proposes the alignment p - q.  The key
+phrases' words are intersected at their places relative to it, then all other words of the
+template; an alignment counts if each key phrase stands whole and the agreeing share of
+the template's words reaches ``AGREE``.
+
+A place that counts has its key phrases whole, so it has the looked-up word: no place is
+lost, whichever other words were altered.  Base phrases are templates that consist of
+their key phrase alone.  Longer licence texts are templates by sentence, as an inserted
+word moves all that follows it.
 
 Defined results: null and empty texts have no words and no labels; repeated rows
-repeat; ties in IDF are broken by the word.
+repeat; ties in IDF are broken by the file's counts, then the word; an alignment may
+reach beyond the text's borders, where nothing agrees.
 """
 
 from __future__ import annotations
@@ -30,7 +34,6 @@ from pyspark.sql import types as T
 
 from . import words
 
-ANCHORS = 3
 AGREE = 0.8
 
 
@@ -47,21 +50,33 @@ def _base(phrase: str, label: str) -> Template:
 
 
 BASE_TEMPLATES = (_base("mit license", "mit"), _base("apache license", "apache"), _base("general public license", "gpl"))
-# Notices and first sentences of well-known licences.
+# Sentences of well-known licences and of their notices, and phrases that name them (fixed values).
 TEMPLATES = BASE_TEMPLATES + (
     Template("mit-notice", "released under the mit license", ("mit license",)),
     Template("mit-text", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", ("permission is hereby granted free of charge",)),
+    Template("mit-text", "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software", ("deal in the software without restriction",)),
+    Template("mit-text", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", ("permission notice shall be included",)),
+    Template("mit-text", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement", ("the software is provided as is without warranty",)),
     Template("apache-2.0", "licensed under the apache license version 2 0", ("apache license version 2 0",)),
+    Template("apache-2.0", "you may not use this file except in compliance with the license you may obtain a copy of the license at", ("except in compliance with the license",)),
+    Template("apache-2.0", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied", ("software distributed under the license is distributed on an as is basis",)),
     Template("gpl-3.0", "licensed under the gnu general public license version 3", ("gnu general public license version 3",)),
     Template("gpl-2.0", "licensed under the gnu general public license version 2", ("gnu general public license version 2",)),
+    Template("gpl-notice", "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", ("gnu general public license as published by the free software foundation",)),
+    Template("gpl-notice", "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose", ("distributed in the hope that it will be useful",)),
     Template("lgpl", "licensed under the gnu lesser general public license", ("lesser general public license",)),
     Template("agpl", "licensed under the gnu affero general public license", ("affero general public license",)),
     Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", ("redistribution and use in source and binary forms",)),
+    Template("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer", ("redistributions of source code must retain",)),
+    Template("bsd", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution", ("redistributions in binary form must reproduce",)),
     Template("bsd", "licensed under the bsd license", ("bsd license",)),
     Template("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0", ("mozilla public license",)),
+    Template("mpl-2.0", "if a copy of the mpl was not distributed with this file you can obtain one at", ("copy of the mpl was not distributed with this file",)),
     Template("epl", "made available under the terms of the eclipse public license", ("eclipse public license",)),
     Template("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", ("distribute this software for any purpose with or without fee",)),
+    Template("isc", "provided that the above copyright notice and this permission notice appear in all copies", ("permission notice appear in all copies",)),
     Template("unlicense", "this is free and unencumbered software released into the public domain", ("free and unencumbered software",)),
+    Template("unlicense", "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary", ("anyone is free to copy modify publish use compile sell or distribute this software",)),
     Template("cc0", "cc0 1 0 universal public domain dedication", ("cc0 1 0 universal",)),
     Template("cc-by-nc-4.0", "licensed under cc by nc 4 0", ("cc by nc 4 0",)),
     Template("cc-by-sa-4.0", "licensed under cc by sa 4 0", ("cc by sa 4 0",)),
@@ -76,7 +91,18 @@ def word_hashes(text: str) -> np.ndarray:
 
 
 def vocabulary(templates: tuple[Template, ...] = TEMPLATES) -> list[str]:
-    return sorted({w for t in templates for w in t.text.split()})
+    """The licence words: those of the key phrases."""
+    return sorted({w for t in templates for phrase in t.key_phrases for w in phrase.split()})
+
+
+def key_places(t: Template) -> list[int]:
+    """The template's places that its key phrases cover."""
+    own, need = t.text.split(), set()
+    for phrase in t.key_phrases:
+        p = phrase.split()
+        q = next(i for i in range(len(own)) if own[i : i + len(p)] == p)
+        need.update(range(q, q + len(p)))
+    return sorted(need)
 
 
 def _filter(keys: np.ndarray) -> np.ndarray:
@@ -122,61 +148,84 @@ def document_frequencies(docs: DataFrame, text_col: str = "text", templates: tup
     return {w: df.get(i, 0) for i, w in enumerate(vocab)}, df.get(len(vocab), 0)
 
 
-def anchors(df: dict[str, int], n_docs: int, templates: tuple[Template, ...] = TEMPLATES, count: int = ANCHORS) -> list[list[int]]:
-    """For each template the places of its words of highest IDF."""
-    idf = {w: math.log((n_docs + 1) / (x + 1)) for w, x in df.items()}
-    out = []
-    for t in templates:
-        own = t.text.split()
-        best = sorted(set(own), key=lambda w: (-idf[w], w))[: 1 if t.base else count]
-        out.append([q for q, w in enumerate(own) if w in best])
-    return out
+def idf(df: dict[str, int], n_docs: int) -> dict[str, float]:
+    return {w: math.log((n_docs + 1) / (x + 1)) for w, x in df.items()}
+
+
+class _Index:
+    """The templates' words as hashes, and the postings of their key words; made once a task."""
+
+    def __init__(self, templates: tuple[Template, ...], rarity: dict[str, float]):
+        vocab = sorted(rarity, key=lambda w: (-rarity[w], w))
+        hashes = word_hashes(" ".join(vocab))
+        order = np.argsort(hashes)
+        self.keys, self.bits = hashes[order], _filter(hashes)
+        self.rank = order  # of each key: 0 is the rarest
+        self.rarity = np.array([rarity[w] for w in vocab])
+        place = {w: i for i, w in enumerate(vocab)}
+        self.texts = [word_hashes(t.text) for t in templates]
+        self.must = [np.array(key_places(t)) for t in templates]
+        #: By template, from the rarest word on: (word, its places among the key phrases).
+        self.postings = []
+        for t, must in zip(templates, self.must, strict=True):
+            own = t.text.split()
+            found: dict[int, list[int]] = {}
+            for q in must.tolist():
+                found.setdefault(place[own[q]], []).append(q)
+            self.postings.append(sorted(found.items()))
+
+    def places(self, block: words.Block, agree: float) -> list[tuple[int, int, int, float]]:
+        """(row, template, start, agreement) of all places of a block."""
+        at, k = _occurrences(block.words, self.keys, self.bits)
+        if not len(at):
+            return []
+        word, row = self.rank[k], np.searchsorted(block.at, at, "right") - 1
+        rows, own = np.unique(row, return_inverse=True)  # few rows have licence words
+        counts = np.zeros((len(rows), len(self.keys)), np.int64)
+        np.add.at(counts, (own, word), 1)
+        out = []
+        for t, postings in enumerate(self.postings):
+            possible = (counts[:, [w for w, _ in postings]] > 0).all(1)
+            if not possible.any():
+                continue
+            # Of each file its rarest key word of this template; equally rare ones by the file's own counts.
+            ties = [w for w, _ in postings if self.rarity[w] == self.rarity[postings[0][0]]]
+            looked_up = np.array(ties)[counts[:, ties].argmin(1)]
+            take = possible[own] & (word == looked_up[own])
+            starts, of = [], []
+            for w, qs in postings:
+                mine = take & (word == w)
+                for q in qs:
+                    starts.append(at[mine] - q)
+                    of.append(row[mine])
+            start, r = np.unique(np.stack((np.concatenate(starts), np.concatenate(of))), axis=1)
+            lo, hi = block.at[r], block.at[r + 1]
+            must, text = self.must[t], self.texts[t]
+            for places in (must, np.arange(len(text))):  # key phrases first, then the whole template
+                p = start[:, None] + places
+                inside = (p >= lo[:, None]) & (p < hi[:, None])
+                same = inside & (block.words[np.clip(p, 0, len(block.words) - 1)] == text[places])
+                ok = same.all(1) if places is must else same.sum(1) >= agree * len(text) - 1e-9
+                start, r, lo, hi, same = start[ok], r[ok], lo[ok], hi[ok], same[ok]
+            out += zip((block.first + r).tolist(), [t] * len(r), (start - lo).tolist(), (same.sum(1) / len(text)).tolist(), strict=True)
+        return out
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: tuple[Template, ...] = TEMPLATES, agree: float = AGREE) -> DataFrame:
-    """doc_id, n_words, places (label, base, start, length, agreement) of every row of ``docs``."""
-    df, n_docs = document_frequencies(docs, text_col, templates)
-    places = anchors(df, n_docs, templates)
+    """doc_id, n_words, places (label, base, start, length, agreement) of every row of ``docs``; places by start, then template."""
+    rarity = idf(*document_frequencies(docs, text_col, templates))
     place = T.StructType([T.StructField("label", T.StringType()), T.StructField("base", T.BooleanType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("agreement", T.DoubleType())])
     schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("n_words", T.LongType()), T.StructField("places", T.ArrayType(place))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = [word_hashes(t.text) for t in templates]
-        must = []
-        for t in templates:
-            w, need = t.text.split(), set()
-            for phrase in t.key_phrases:
-                p = phrase.split()
-                q = next(i for i in range(len(w)) if w[i : i + len(p)] == p)
-                need.update(range(q, q + len(p)))
-            must.append(np.array(sorted(need)))
-        postings: dict[int, list[tuple[int, int]]] = {}
-        for t, qs in enumerate(places):
-            for q in qs:
-                postings.setdefault(int(own[t][q]), []).append((t, q))
-        keys = np.array(sorted(postings), np.uint64)
-        bits = _filter(keys)
+        index = _Index(templates, rarity)
         for batch in batches:
             n_words = np.zeros(batch.num_rows, np.int64)
             found: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             for block in words.blocks(batch.column(1)):
                 n_words[block.first : block.first + block.rows] = np.diff(block.at)
-                at, k = _occurrences(block.words, keys, bits)
-                rows = np.searchsorted(block.at, at, "right") - 1
-                tried = set()
-                for p, which, row in zip(at.tolist(), keys[k].tolist(), rows.tolist(), strict=True):
-                    lo, hi = int(block.at[row]), int(block.at[row + 1])
-                    for t, q in postings[which]:
-                        start = p - q
-                        if (row, t, start) in tried:
-                            continue
-                        tried.add((row, t, start))
-                        first, last = max(lo, start), min(hi, start + len(own[t]))
-                        same = np.zeros(len(own[t]), bool)
-                        same[first - start : last - start] = block.words[first:last] == own[t][first - start : last - start]
-                        share = same.sum() / len(same)
-                        if share >= agree and same[must[t]].all():
-                            found[block.first + row].append({"label": templates[t].label, "base": templates[t].base, "start": start - lo, "length": len(same), "agreement": float(share)})
+                for row, t, start, share in sorted(index.places(block, agree), key=lambda x: (x[0], x[2], x[1])):
+                    found[row].append({"label": templates[t].label, "base": templates[t].base, "start": start, "length": len(index.texts[t]), "agreement": share})
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words), pa.array(found, pa.list_(pa.struct([("label", pa.string()), ("base", pa.bool_()), ("start", pa.int64()), ("length", pa.int64()), ("agreement", pa.float64())])))], names=schema.names)
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
