@@ -14,7 +14,8 @@ order, one a line.  Character references are decoded, white space inside a block
 one space, ``br`` counts as white space.
 
 Defined results: null html counts as empty; a page without content has empty text;
-unclosed, misnested and truncated markup is read as far as it goes.
+unclosed, misnested and truncated markup is read as far as it goes; repeated rows repeat,
+and a page's text doesn't depend on the pages beside it.  Time is linear in a page's length.
 """
 
 from __future__ import annotations
@@ -43,7 +44,7 @@ SKIP = frozenset("head script style title noscript template svg math iframe obje
 BLOCKS = "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup html ins legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 BLOCK = frozenset(BLOCKS)
 CLOSES_P = BLOCK - {"html", "body", "ins", "td", "th", "tr", "tbody", "thead", "tfoot", "dd", "dt"}
-SIBLINGS = {"li": ("li", {"ul", "ol", "menu"}), "dt": ("dt dd", {"dl"}), "dd": ("dt dd", {"dl"}), "tr": ("tr td th", {"table"}), "td": ("td th", {"tr", "table"}), "th": ("td th", {"tr", "table"})}
+SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
 # Words of class, id and role that tell a part of a page.
 HINTS = {
     "menu": "nav menu navbar breadcrumb breadcrumbs navigation topnav pagination pager",
@@ -60,16 +61,20 @@ HINTS = {
 HINT_OF = {w: k for k, ws in HINTS.items() for w in ws.split()}
 HINT_KINDS = list(HINTS)
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(?=[a-zA-Z/])[^>]*\Z", re.S)
+# A tag whose quotes don't close before the page ends reaches to its first ">".
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?=>)|[^>]*+(?=>))>|<(?=[a-zA-Z/])[^>]*\Z", re.S)
 # Skipped elements that are not raw text: they may be unclosed, nested or, for svg, closed by its own slash.
 NESTED = frozenset("noscript template iframe svg select button".split())
-PAIRED = re.compile(rf"<!--.*?(?:-->|\Z)|<(script|style)(?=[\s/>])[^>]*>.*?</\1\s*>|<(/?)({'|'.join(sorted(NESTED))})(?=[\s/>])((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
+PAIRED = re.compile(rf"<!--.*?(?:-->|\Z)|<(script|style)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)({'|'.join(sorted(NESTED))})(?=[\s/>])((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
 ATTRIBUTE = re.compile(r"(class|id|role|data-y)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 HIDDEN = re.compile(r"display\s*:\s*none|\bhidden\b|aria-hidden\s*=\s*[\"']?true", re.I)
 SPACES = re.compile(r"\s+")
 
 TAG_FEATURES = [*BLOCKS, "other"]
-NUMERIC = ["bias", "hidden", "no_text", "few", "some", "many", "lots", "ends", "no_links", "half_links", "all_links", "below_links", "top", "late", "large", "deep"]
+NUMERIC = ["bias", "hidden", "no_text", "few", "some", "many", "lots", "ends", "no_links", "half_links", "all_links", "below_links", "top", "late", "large", "deep", "in_main", "in_part", "in_main_only"]
+# Elements that hold a page's main content, and parts of a page beside it (fixed values).
+MAIN = ["article", "main"]
+PARTS = ["nav", "header", "footer", "aside", "form", "menu", "dialog", "fieldset"]
 WIDTH = len(TAG_FEATURES) + 2 * len(HINT_KINDS) + len(NUMERIC)
 EDGES = 3  # plain child, child that is a part of its own, child with a hint
 
@@ -131,9 +136,11 @@ def parse(page: str, labelled: bool = True) -> Tree:
 
     node(-1, "other", "")
     stack: list[tuple[str, int]] = [("", 0)]  # (tag, block node) of the open elements
+    opened: dict[str, int] = {}  # how many of a tag are open: what isn't open is never searched for
     pending: list[str] = []
     links = 0
     closed: dict[int, int] | None = None
+    headless = False  # no end of a head follows
 
     def flush(owner: int) -> None:
         if pending:
@@ -155,6 +162,7 @@ def parse(page: str, labelled: bool = True) -> Tree:
             if tag in BLOCK:
                 flush(owner)
             links -= tag == "a"
+            opened[tag] -= 1
         del stack[to:]
 
     at, n = 0, len(page)
@@ -172,7 +180,7 @@ def parse(page: str, labelled: bool = True) -> Tree:
             continue
         tag = m[2].lower()
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if opened.get(tag) else ():
                 if stack[k][0] == tag:
                     pop(k)
                     break
@@ -185,16 +193,16 @@ def parse(page: str, labelled: bool = True) -> Tree:
                 if closed is None:
                     closed = closings(page)
                 at = closed.get(at, at)
-            elif tag in RAW or tag == "head":
+            elif tag in RAW or (tag == "head" and not headless):
                 end = re.compile(rf"</{tag}\s*>|<body\b" if tag == "head" else rf"</{tag}\s*>", re.I).search(page, at)
                 if end is None:
-                    at = n if tag != "head" else at
+                    at, headless = (n, headless) if tag != "head" else (at, True)
                 else:
                     at = end.start() if end[0].lower().startswith("<body") else end.end()
             continue
         if tag in VOID:
             continue
-        if tag in CLOSES_P:
+        if tag in CLOSES_P and opened.get("p"):
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == "p":
                     pop(k)
@@ -203,14 +211,15 @@ def parse(page: str, labelled: bool = True) -> Tree:
                     break
         if tag in SIBLINGS:
             own, scope = SIBLINGS[tag]
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if any(opened.get(x) for x in own) else ():
                 if stack[k][0] in scope:
                     break
-                if stack[k][0] in own.split():
+                if stack[k][0] in own:
                     pop(k)
                     break
-        if tag in ("html", "body") and any(s[0] == tag for s in stack):
+        if tag in ("html", "body") and opened.get(tag):
             continue
+        opened[tag] = opened.get(tag, 0) + 1
         if tag in BLOCK:
             flush(stack[-1][1])
             stack.append((tag, node(stack[-1][1], tag, m[3])))
@@ -247,6 +256,8 @@ def features(trees: list[Tree]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     for i in range(n):  # parents come first
         if parent[i] >= 0:
             depth[i] = depth[parent[i]] + 1
+    part = np.isin(tags, PARTS)
+    in_main, in_part = np.isin(tags, MAIN), part.copy()
     all_text, all_linked, above = text.copy(), linked.copy(), own.copy()
     order = np.argsort(depth, kind="stable")
     levels = np.split(order, np.flatnonzero(np.diff(depth[order])) + 1)
@@ -255,15 +266,16 @@ def features(trees: list[Tree]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
         np.add.at(all_linked, parent[level], all_linked[level])
     for level in levels[1:]:
         above[level] = np.maximum(own[level], above[parent[level]])
+        in_main[level] |= in_main[parent[level]]
+        in_part[level] |= in_part[parent[level]]
     x[:, base : base + len(HINT_KINDS)] = own
     x[:, base + len(HINT_KINDS) : base + 2 * len(HINT_KINDS)] = above
     total = np.maximum(1.0, all_text[first][page])
     density = linked / np.maximum(1, text)
     below = all_linked / np.maximum(1, all_text)
     where = (np.arange(n) - first[page]) / np.maximum(1, sizes[page])
-    flags = [np.ones(n, bool), np.array([v for t in trees for v in t.hidden]), text == 0, (text > 0) & (text < 25), (text >= 25) & (text < 80), (text >= 80) & (text < 300), text >= 300, np.array([v for t in trees for v in t.ends]), (text > 0) & (density < 0.1), (density >= 0.3) & (density < 0.8), density >= 0.8, below > 0.5, where < 0.15, where > 0.85, all_text > 0.4 * total, depth > 6]
+    flags = [np.ones(n, bool), np.array([v for t in trees for v in t.hidden]), text == 0, (text > 0) & (text < 25), (text >= 25) & (text < 80), (text >= 80) & (text < 300), text >= 300, np.array([v for t in trees for v in t.ends]), (text > 0) & (density < 0.1), (density >= 0.3) & (density < 0.8), density >= 0.8, below > 0.5, where < 0.15, where > 0.85, all_text > 0.4 * total, depth > 6, in_main, in_part, in_main & ~in_part & (above.sum(1) == above[:, hint_no["content"]])]
     x[:, base + 2 * len(HINT_KINDS) :] = np.stack(flags, 1)
-    part = np.isin(tags, ["nav", "header", "footer", "aside", "form", "menu", "dialog", "fieldset"])
     edge = np.where(part, 1, np.where(own.any(1), 2, 0))
     return x, parent, depth, edge
 
