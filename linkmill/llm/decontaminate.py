@@ -9,12 +9,18 @@ document is.  Sketches of larger classes are minima of those of smaller ones.  A
 and an item that agree in one bin make a candidate (document, item), and the candidate
 is verified by the exact containment of the item's shingles in the whole document.
 
+Items of fewer than 16 shingles have too few for a sketch that is sure to be met: they
+are looked up exactly, by so many of their shingles that none contained to the wanted
+share can lack all of them.  For larger ones all bins must miss, which was never met in
+tests (see README).
+
 One pass over the documents, no shuffle.  The index is built from blocks of the
 benchmark of at most about ``max_block_words`` words: a larger benchmark takes several
 passes, one a block, so what is shipped to the workers never grows with the input.
 
 Defined results: null, empty and wordless texts match nothing, on either side; an item
-of 1 to 4 words is one shingle of its own width; repeated rows give repeated results.
+of 1 to 4 words is one shingle of its own width; repeated rows give repeated results.  A
+text is worked on whole, with about 10 bytes of arrays a byte of it.
 """
 
 from __future__ import annotations
@@ -35,7 +41,7 @@ NGRAM = 5
 CONTAINMENT = 0.8
 BINS = 128
 MAX_BLOCK_WORDS = 2_000_000
-SMALLEST = 3  # class of 8 to 15 shingles; smaller items join it
+SMALLEST = 4  # class of 16 to 31 shingles; smaller items are looked up exactly
 
 
 @dataclass
@@ -45,6 +51,7 @@ class _Index:
     width: int
     ids: list
     grams: list[np.ndarray]
+    small: tuple[np.ndarray, np.ndarray, np.ndarray] | None  # of items below the smallest class: sorted shingles, their items, filter bits
     classes: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  # class: sorted bin minima, their items, filter bits
 
 
@@ -59,7 +66,15 @@ def _bin_of(grams: np.ndarray) -> np.ndarray:
     return (grams >> np.uint64(64 - int(math.log2(BINS)))).astype(np.int64)
 
 
-def build_index(ids: list, texts: list[str | None], n: int = NGRAM) -> list[_Index]:
+def _sorted(found: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys in order, the item of each, and the keys' filter bits."""
+    keys = np.concatenate([x for x, _ in found])
+    items = np.concatenate([np.full(len(x), k) for x, k in found])
+    order = np.argsort(keys, kind="stable")
+    return keys[order], items[order], _bits(keys)
+
+
+def build_index(ids: list, texts: list[str | None], n: int = NGRAM, containment: float = CONTAINMENT) -> list[_Index]:
     by_width: dict[int, list[tuple[object, np.ndarray]]] = {}
     col = pa.array(texts, pa.string())
     for block in words.blocks(col):
@@ -71,17 +86,16 @@ def build_index(ids: list, texts: list[str | None], n: int = NGRAM) -> list[_Ind
     out = []
     for width, items in sorted(by_width.items()):
         sketches: dict[int, list[tuple[np.ndarray, int]]] = {}
+        small: list[tuple[np.ndarray, int]] = []
         for k, (_, grams) in enumerate(items):
+            c = len(grams).bit_length() - 1
+            if c < SMALLEST:
+                small.append((grams[: len(grams) - math.ceil(containment * len(grams) - 1e-9) + 1], k))
+                continue
             least = np.full(BINS, ~np.uint64(0))
             np.minimum.at(least, _bin_of(grams), grams)
-            sketches.setdefault(max(SMALLEST, len(grams).bit_length() - 1), []).append((least[least != ~np.uint64(0)], k))
-        classes = {}
-        for c, found in sorted(sketches.items()):
-            keys = np.concatenate([x for x, _ in found])
-            items_of = np.concatenate([np.full(len(x), k) for x, k in found])
-            order = np.argsort(keys, kind="stable")
-            classes[c] = (keys[order], items_of[order], _bits(keys))
-        out.append(_Index(width, [x for x, _ in items], [g for _, g in items], classes))
+            sketches.setdefault(c, []).append((least[least != ~np.uint64(0)], k))
+        out.append(_Index(width, [x for x, _ in items], [g for _, g in items], _sorted(small) if small else None, {c: _sorted(found) for c, found in sorted(sketches.items())}))
     return out
 
 
@@ -93,10 +107,26 @@ def _merged(least: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.minimum.reduceat(least, starts, axis=0), doc[starts]
 
 
+def _met(flat: np.ndarray, table: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
+    """Places of ``flat`` whose value is a key, with the key's items."""
+    keys, items, bits = table
+    hit = np.flatnonzero(bits[(flat & np.uint64(len(bits) - 1)).astype(np.int64)] & (flat != ~np.uint64(0)))
+    if len(hit):
+        lo, hi = np.searchsorted(keys, flat[hit], "left"), np.searchsorted(keys, flat[hit], "right")
+        for x in np.flatnonzero(lo < hi):
+            yield int(hit[x]), items[lo[x] : hi[x]]
+
+
 def candidates(index: _Index, grams: np.ndarray, at: np.ndarray) -> set[tuple[int, int]]:
-    """(row, item) pairs of which a window's sketch meets the item's."""
+    """(row, item) pairs of which a window's sketch meets the item's, or a shingle a small item's."""
     found: set[tuple[int, int]] = set()
-    if not len(grams) or not index.classes:
+    if not len(grams):
+        return found
+    if index.small:
+        for place, items in _met(grams, index.small):
+            row = int(np.searchsorted(at, place, "right")) - 1
+            found.update((row, int(k)) for k in items)
+    if not index.classes:
         return found
     step = 1 << (SMALLEST + 1)
     count = np.diff(at)
@@ -111,17 +141,12 @@ def candidates(index: _Index, grams: np.ndarray, at: np.ndarray) -> set[tuple[in
             least, doc = _merged(least, doc)
         if c not in index.classes:
             continue
-        keys, items, bits = index.classes[c]
         window = least.copy()
         if len(doc) > 1:
             same = doc[1:] == doc[:-1]
             window[:-1][same] = np.minimum(least[:-1][same], least[1:][same])
-        flat = window.reshape(-1)
-        hit = np.flatnonzero(bits[(flat & np.uint64(len(bits) - 1)).astype(np.int64)] & (flat != ~np.uint64(0)))
-        if len(hit):
-            lo, hi = np.searchsorted(keys, flat[hit], "left"), np.searchsorted(keys, flat[hit], "right")
-            for x in np.flatnonzero(lo < hi):
-                found.update((int(doc[hit[x] // BINS]), int(k)) for k in items[lo[x] : hi[x]])
+        for place, items in _met(window.reshape(-1), index.classes[c]):
+            found.update((int(doc[place // BINS]), int(k)) for k in items)
     return found
 
 
@@ -151,7 +176,7 @@ def contamination(
     for k in range(n_blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == k) if n_blocks > 1 else items
         rows = part.collect()  # at most about max_block_words words
-        shipped = spark.sparkContext.broadcast(build_index([r["item_id"] for r in rows], [r["text"] for r in rows], n))
+        shipped = spark.sparkContext.broadcast(build_index([r["item_id"] for r in rows], [r["text"] for r in rows], n, containment))
 
         def run(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
             indexes = shipped.value
