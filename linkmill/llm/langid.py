@@ -14,7 +14,8 @@ first, then a scan over a document's pieces, then the marginals inside the piece
 a very long text takes no long Python loop.
 
 Training: on a bounded sample, at most about ``rows_per_language`` labelled rows of each
-language with at most ``max_chars`` characters each; everything else covers all rows.
+language and ``max_rows`` of all, with at most ``max_chars`` characters each; everything
+else covers all rows.  One row a distinct label comes to the driver.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0; a null id
 counts as held out; equal texts get equal results.
@@ -35,6 +36,7 @@ from . import words
 
 FOLDS = 5
 ROWS_PER_LANGUAGE = 80
+MAX_ROWS = 4_000
 MAX_CHARS = 20_000
 LEXICON = 300
 TABLE = 1 << 17
@@ -135,8 +137,12 @@ def emissions(model: Model, f: Features) -> np.ndarray:
     return out
 
 
-def marginals(scores: np.ndarray, at: np.ndarray, change: np.ndarray) -> np.ndarray:
-    """Forward-backward of every row at once: words x L marginals."""
+def marginals(scores: np.ndarray, at: np.ndarray, change: np.ndarray, transitions: np.ndarray | None = None) -> np.ndarray:
+    """Forward-backward of every row at once: words x L marginals.
+
+    To ``transitions``, if given, the expected number of each transition of all rows is
+    added: the sum of the exact marginals of neighbouring pairs.
+    """
     labels = scores.shape[1]
     total = len(scores)
     if not total:
@@ -154,10 +160,16 @@ def marginals(scores: np.ndarray, at: np.ndarray, change: np.ndarray) -> np.ndar
     real = np.zeros(n * PIECE, bool)
     real[place] = True
     e, real = e.reshape(n, PIECE, labels), real.reshape(n, PIECE)
-    # Transfer matrix of each piece.
+    # Transfer matrix of each piece; a row's first word has no transition.
+    opening = np.zeros(n, bool)
+    opening[first[:-1][pieces > 0]] = True
     m = np.broadcast_to(np.eye(labels), (n, labels, labels)).copy()
     for t in range(PIECE):
-        step = (m.reshape(-1, labels) @ trans).reshape(n, labels, labels) * e[:, t, None, :]
+        step = m.reshape(-1, labels) @ trans
+        step = step.reshape(n, labels, labels)
+        if not t:
+            step[opening] = np.eye(labels)
+        step *= e[:, t, None, :]
         step /= step.max((1, 2), keepdims=True)
         on = real[:, t]
         m = step if on.all() else np.where(on[:, None, None], step, m)
@@ -178,14 +190,22 @@ def marginals(scores: np.ndarray, at: np.ndarray, change: np.ndarray) -> np.ndar
     forward = np.empty((n, PIECE, labels))
     a = ahead
     for t in range(PIECE):
-        step = (a @ trans) * e[:, t]
+        step = a @ trans
+        if not t:
+            step[opening] = 1.0
+        step *= e[:, t]
         step /= step.sum(1, keepdims=True)
         a = np.where(real[:, t, None], step, a)
         forward[:, t] = a
     b = behind
     for t in range(PIECE - 1, -1, -1):
         forward[:, t] *= b
-        step = (e[:, t] * b) @ trans.T
+        own = e[:, t] * b
+        if transitions is not None:
+            on = real[:, t] if t else real[:, 0] & ~opening
+            pair = (forward[on, t - 1] if t else ahead[on])[:, :, None] * trans * own[on, None, :]
+            transitions += (pair / pair.sum((1, 2), keepdims=True)).sum(0)
+        step = own @ trans.T
         step /= step.sum(1, keepdims=True)
         b = np.where(real[:, t, None], step, b)
     out = forward.reshape(-1, labels)[place]
@@ -246,7 +266,8 @@ def train(texts: list[str], languages: list[str], steps: int = STEPS, seed: int
         return np.stack([np.bincount(index, values[:, j], size) for j in range(k)], 1)
 
     for step in range(1, steps + 1):
-        post = marginals(emissions(model, f)[place].astype(np.float64), seq, model.change)
+        expected = np.zeros((k, k))
+        post = marginals(emissions(model, f)[place].astype(np.float64), seq, model.change, expected)
         rest = (target - post)[back]  # by word
         byte_rest = rest[word_of]
         known = entry >= 0
@@ -254,8 +275,7 @@ def train(texts: list[str], languages: list[str], steps: int = STEPS, seed: int
             spread(f.pair, byte_rest, 65536),
             spread(f.triple, byte_rest, TABLE) + sum(spread(f.affixes[:, j], rest, TABLE) for j in range(6)),
             spread(entry[known], rest[known], len(model.entries)),
-            # Expected transitions, approximated by neighbouring marginals.
-            pairs_gold - post[:-1][inner[1:]].T @ post[1:][inner[1:]],
+            pairs_gold - expected,
         ]
         for p, g, (m1, m2) in zip(params, grads, moments, strict=True):
             g = g / len(gold) - 1e-6 * p
@@ -273,14 +293,16 @@ def held_out(id_col: Column, folds: int = FOLDS) -> Column:
 ABOVE_CHANCE = 1 / 3
 
 
-def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows_per_language: int = ROWS_PER_LANGUAGE, max_chars: int = MAX_CHARS) -> tuple[list[str], list[str]]:
+def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows_per_language: int = ROWS_PER_LANGUAGE, max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -> tuple[list[str], list[str]]:
     """A bounded sample of labelled rows outside the held-out fold, as many of each language."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").isNotNull() & (F.length("text") <= max_chars))
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return [], []
-    share = F.coalesce(*[F.when(F.col("lang") == lang, F.lit(min(1.0, rows_per_language / n))) for lang, n in sorted(counts.items())])
+    wanted = min(rows_per_language, max_rows / len(counts))
+    # One lookup, however many labels there are.
+    share = F.element_at(F.create_map(*[F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, min(1.0, wanted / n))]), F.col("lang"))
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) / 1_000_000
     sample = sorted((r["text"], r["lang"]) for r in rows.where(draw < share).select("text", "lang").collect())
     return [t for t, _ in sample], [x for _, x in sample]
