@@ -1,13 +1,15 @@
 """Media columns: payloads stored as 8-bit grey PNG in a binary column, read back and hashed.
 
-``encode_png`` writes signature, IHDR, IDAT and IEND chunks with their CRC-32;
-``decode_png`` walks the chunks, tests every checksum, inflates and undoes the five row
-filters with numpy.  The feature is a perceptual hash: the image's area means on a
+``encode_png`` gives every row of samples the filter with the least sum of absolute
+differences (none, left or above), and writes signature, IHDR, IDAT and IEND chunks with
+their CRC-32; ``decode_png`` walks the chunks, tests every checksum, inflates and undoes
+the five row filters with numpy, for all rows at once.  The feature is a perceptual hash: the image's area means on a
 32 x 32 grid, a two-dimensional cosine transform, and the signs of the 8 x 8 lowest
 frequencies against their median.
 
 Defined results: null text counts as empty, whose payload is 576 bytes of 255; a
-payload is padded to a positive multiple of 576; equal texts have equal results.
+payload is padded to a positive multiple of 576; equal texts have equal results.  A text is
+worked on whole: writing takes about 16 bytes of arrays a byte of it, as does reading.
 """
 
 from __future__ import annotations
@@ -41,47 +43,59 @@ def _chunk(kind: bytes, body: bytes) -> bytes:
     return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(body, zlib.crc32(kind)))
 
 
+def _filtered(grid: np.ndarray) -> np.ndarray:
+    """Each row's filter and its filtered samples: the least sum of absolute differences of filters 0, 1 and 2."""
+    guesses = np.stack((grid, grid, grid))
+    guesses[1, :, 1:] -= grid[:, :-1]
+    guesses[2, 1:] -= grid[:-1]
+    kinds = np.abs(guesses.view(np.int8).astype(np.int16)).sum(2).argmin(0)
+    out = np.empty((len(grid), grid.shape[1] + 1), np.uint8)
+    out[:, 0] = kinds
+    out[:, 1:] = guesses[kinds, np.arange(len(grid))]
+    return out
+
+
 def encode_png(samples: bytes, width: int = WIDTH) -> bytes:
-    """Grey 8-bit PNG of rows of ``width`` samples, filter 0."""
+    """Grey 8-bit PNG of rows of ``width`` samples."""
     grid = np.frombuffer(samples, np.uint8).reshape(-1, width)
-    raw = np.zeros((len(grid), width + 1), np.uint8)
-    raw[:, 1:] = grid
     header = struct.pack(">IIBBBBB", width, len(grid), 8, 0, 0, 0, 0)
-    return SIGNATURE + _chunk(b"IHDR", header) + _chunk(b"IDAT", zlib.compress(raw.tobytes(), LEVEL)) + _chunk(b"IEND", b"")
+    return SIGNATURE + _chunk(b"IHDR", header) + _chunk(b"IDAT", zlib.compress(_filtered(grid).tobytes(), LEVEL)) + _chunk(b"IEND", b"")
 
 
 def _unfilter(kinds: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Undo PNG row filters of single-byte pixels."""
+    if (kinds > 4).any():
+        raise ValueError(f"unknown filter {kinds.max()}")
+    if (kinds > 2).any():
+        return _by_diagonals(kinds, rows)
     out = rows.copy()
-    if not kinds.any():
-        return out
-    above = np.zeros(rows.shape[1], np.uint8)
-    for y, kind in enumerate(kinds):
-        row = out[y]
-        if kind == 1:
-            np.cumsum(row, out=row, dtype=np.uint8)
-        elif kind == 2:
-            row += above
-        elif kind == 3:
-            left = 0
-            for x in range(len(row)):
-                left = (int(row[x]) + (left + int(above[x])) // 2) & 255
-                row[x] = left
-        elif kind == 4:
-            a = c = 0
-            for x in range(len(row)):
-                b = int(above[x])
-                p = a + b - c
-                pa_, pb, pc = abs(p - a), abs(p - b), abs(p - c)
-                a = (int(row[x]) + (a if pa_ <= pb and pa_ <= pc else b if pb <= pc else c)) & 255
-                row[x] = a
-                c = b
-        elif kind != 0:
-            raise ValueError(f"unknown filter {kind}")
-        above = row
+    left = kinds == 1
+    out[left] = np.cumsum(rows[left], axis=1, dtype=np.uint8)
+    above = kinds == 2
+    if above.any():
+        # A run of such rows adds up on the row before it, or on zeros at the top.
+        sums = np.cumsum(np.where(above[:, None], rows, 0), axis=0, dtype=np.uint8)
+        base = np.maximum.accumulate(np.where(above, -1, np.arange(len(rows))))
+        start = np.where((base >= 0)[:, None], out[base] - sums[base], 0).astype(np.uint8)
+        out[above] = (start + sums)[above]
     return out
 
 
+def _by_diagonals(kinds: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """All five filters: a pixel needs its left, upper and upper left one, so the pixels of a diagonal are done at once."""
+    height, width = rows.shape
+    out = np.zeros((height + 1, width + 1), np.int16)
+    for d in range(height + width - 1):
+        y = np.arange(max(0, d - width + 1), min(height, d + 1))
+        x = d - y
+        a, b, c = out[y + 1, x], out[y, x + 1], out[y, x]
+        p = a + b - c
+        pa_, pb, pc = np.abs(p - a), np.abs(p - b), np.abs(p - c)
+        near = np.where((pa_ <= pb) & (pa_ <= pc), a, np.where(pb <= pc, b, c))
+        out[y + 1, x + 1] = (rows[y, x] + np.choose(kinds[y], (np.zeros_like(a), a, b, (a + b) // 2, near))) & 255
+    return out[1:, 1:].astype(np.uint8)
+
+
 def decode_png(data: bytes) -> np.ndarray:
     """The samples of a grey 8-bit PNG; a bad signature, checksum or length raises ValueError."""
     if data[:8] != SIGNATURE:
