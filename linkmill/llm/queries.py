@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from . import decontaminate, html_extract, langid, licenses, media, mix, ngram_join, secrets, shard, store, token_store
 
 
@@ -44,9 +46,10 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return membership.select("doc_id", "class_id", "n_links")
 
 
-def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op9_secrets(spark: SparkSession, sf_dir: str, ledger: str | None = None) -> DataFrame:
+    """``ledger``: the path of a ledger that earlier runs filled; a new one without it."""
     docs = store.read(spark, sf_dir, "documents")
-    ledger = secrets.scan(docs, store.new_path(spark, "ledger"))
+    ledger = secrets.scan(docs, ledger or store.new_path(spark, "ledger"))
     found = secrets.findings_by_path(docs, ledger)
     base = [r.kind for r in secrets.BASE_RULES]
     counts = [F.size(k).cast("long").alias(f"n_{k}") for k in base]
@@ -58,8 +61,6 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    import corpus_pipeline
-
     ops = [op1_shard, op2_licenses, op3_mix, op4_html, op5_decontaminate, op6_langid, op7_media, op8_ngram_join, op9_secrets, op10_tokens]
     return {f.__name__: f for f in ops} | {"pipeline": corpus_pipeline.run}
 

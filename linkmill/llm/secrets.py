@@ -12,7 +12,8 @@ walk the same matches, so a match begins where the pieces and matches before it
 They are in code points, the end is exclusive.
 
 Defined results: null text is the empty blob, without findings; repeated rows share a
-blob and each get its findings.
+blob and each get its findings; a text's time and memory are linear in its length and its
+matches.
 """
 
 from __future__ import annotations
@@ -20,11 +21,16 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import store
 
 
+#: Tasks that the rows of one blob are spread over when its findings come back to them.
+SALTS = 16
+
+
 @dataclass(frozen=True)
 class Rule:
     """A kind of secret: all leftmost matches of ``pattern``; ``group`` must have ``least`` characters.
@@ -56,25 +62,38 @@ MORE_RULES = (
 RULES = BASE_RULES + MORE_RULES
 
 
-def spans(text: Column, rule: Rule) -> Column:
-    """array<struct<start, end, kind>> of the rule's findings in ``text``, none for most texts."""
-    # The pattern consumes what it matches, failing matches too; those are dropped afterwards.
+STEP = "array<struct<rule:int,place:int,p:int,m:int,ok:boolean>>"
+SPANS = "array<struct<start:int,end:int>>"
+
+
+def steps(text: Column, rule: Rule, number: int) -> Column:
+    """For each match of the rule in ``text``, failing ones too: the lengths of the piece before it and of itself, and if it counts."""
+    # The pattern consumes what it matches; split and extract walk the same matches.
     matches = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     pieces = F.split(text, rule.pattern, -1)
     wanted = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
-    steps = F.transform(F.arrays_zip(pieces.alias("p"), matches.alias("m"), wanted.alias("g")), lambda x: F.struct(F.length(x["p"]).alias("p"), F.length(x["m"]).alias("m"), F.length(x["g"]).alias("g")))
-    none = F.array().cast("array<struct<start:int,end:int,ok:boolean>>")
-    found = F.aggregate(
-        F.filter(steps, lambda x: x["m"].isNotNull()),
-        F.struct(F.lit(0).alias("at"), none.alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["p"] + x["m"]).alias("at"),
-            F.concat(acc["out"], F.array(F.struct((acc["at"] + x["p"]).alias("start"), (acc["at"] + x["p"] + x["m"]).alias("end"), (x["g"] >= rule.least).alias("ok")))).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
-    kept = F.transform(F.filter(found, lambda x: x["ok"]), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
-    return F.when(F.regexp(text, F.lit(rule.hint)), kept).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
+    zipped = F.filter(F.arrays_zip(pieces.alias("p"), matches.alias("m"), wanted.alias("g")), lambda x: x["m"].isNotNull())
+    found = F.transform(zipped, lambda x, i: F.struct(F.lit(number).alias("rule"), i.alias("place"), F.length(x["p"]).alias("p"), F.length(x["m"]).alias("m"), (F.length(x["g"]) >= rule.least).alias("ok")))
+    return F.when(F.regexp(text, F.lit(rule.hint)), found).otherwise(F.array()).cast(STEP)
+
+
+def findings(blobs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """(blob, findings) of (blob, text, seen): for each rule that isn't ``seen`` its spans.
+
+    Positions are running sums over a blob's matches, one row a match, so the time is
+    linear in them.  The blobs are dealt by hash already, so nothing is shuffled again.
+    """
+    names = [f"{r.kind}:{r.version}" for r in rules]
+    todo = [~F.array_contains("seen", n) for n in names]
+    every = F.concat(*[F.when(t, steps(F.col("text"), r, k)).otherwise(F.array().cast(STEP)) for k, (t, r) in enumerate(zip(todo, rules, strict=True))])
+    rows = blobs.select("blob", F.filter(F.array(*[F.when(t, F.lit(n)) for t, n in zip(todo, names, strict=True)]), lambda x: x.isNotNull()).alias("scanned"), F.explode_outer(every).alias("x"))
+    rows = rows.select("blob", "scanned", "x.*")
+    stop = F.sum(F.col("p") + F.col("m")).over(W.partitionBy("blob", "rule").orderBy("place")).cast("int")
+    placed = rows.withColumn("end", stop).withColumn("start", F.col("end") - F.col("m"))
+    spans = [F.array_sort(F.collect_list(F.when(F.col("ok") & (F.col("rule") == k), F.struct("start", "end")))).alias(f"s{k}") for k in range(len(rules))]
+    lists = placed.groupBy("blob").agg(F.first("scanned").alias("scanned"), *spans)
+    entries = F.array(*[F.struct(F.lit(n).alias("key"), F.col(f"s{k}").cast(SPANS).alias("value")) for k, n in enumerate(names)])
+    return lists.select("blob", F.map_from_entries(F.filter(entries, lambda x: F.array_contains("scanned", x["key"]))).alias("findings"))
 
 
 def blob_address(text: Column) -> Column:
@@ -101,10 +120,7 @@ def scan(docs: DataFrame, ledger: str, text_col: str = "text", rules: tuple[Rule
         seen = old.select("blob", F.explode(F.map_keys("findings")).alias("rule")).groupBy("blob").agg(F.collect_set("rule").alias("seen"))
         unseen = blobs.join(seen, "blob", "left").withColumn("seen", F.coalesce("seen", F.array().cast("array<string>")))
         unseen = unseen.where(F.size(F.array_except(F.array(*[F.lit(n) for n in names]), "seen")) > 0)
-    nothing = F.lit(None).cast("array<struct<start:int,end:int>>")
-    new = [F.when(F.array_contains("seen", n), nothing).otherwise(spans(F.col("text"), r)) for n, r in zip(names, rules, strict=True)]
-    entries = F.array(*[F.struct(F.lit(n).alias("key"), c.alias("value")) for n, c in zip(names, new, strict=True)])
-    fresh = unseen.select("blob", F.map_from_entries(F.filter(entries, lambda x: x["value"].isNotNull())).alias("findings"))
+    fresh = findings(unseen, rules)
     fresh.write.mode("append").parquet(ledger)
     return spark.read.parquet(ledger)
 
@@ -115,9 +131,11 @@ def findings_by_path(docs: DataFrame, ledger: DataFrame, id_col: str = "doc_id",
     flat = ledger.select("blob", F.explode("findings").alias("rule", "spans")).where(F.size("spans") > 0)
     # Only blobs with findings come back; every row without one has none.
     per_blob = flat.groupBy("blob").agg(*[F.max(F.when(F.col("rule") == f"{r.kind}:{r.version}", F.col("spans"))).alias(r.kind) for r in rules])
-    none = F.array().cast("array<struct<start:int,end:int>>")
-    joined = paths.join(per_blob, "blob", "left")
-    return joined.select("doc_id", "blob", *[F.coalesce(r.kind, none).alias(r.kind) for r in rules])
+    # A blob that many rows hold meets them in as many tasks as there are salts.
+    salted = per_blob.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    paths = paths.withColumn("salt", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(SALTS)).cast("int"))
+    joined = paths.join(salted, ["blob", "salt"], "left")
+    return joined.select("doc_id", "blob", *[F.coalesce(r.kind, F.array().cast(SPANS)).alias(r.kind) for r in rules])
 
 
 def span_list(kinds: list[str]) -> Column:
