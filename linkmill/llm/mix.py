@@ -13,7 +13,8 @@ sources ordered by size per weight).
 
 Defined results: null text has size 0; a null source is a source of its own, last;
 rows without words are taken 0 times; equal rows share a key, which of them is counted
-first makes no difference to the result as a multiset.
+first makes no difference to the result as a multiset; rows that differ in any column
+stay different rows in ``mixed``.
 """
 
 from __future__ import annotations
@@ -57,15 +58,15 @@ def row_key(seed: str, *columns: Column) -> Column:
 
 
 def mix_plan(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = "mix", whole: bool = False
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = "mix", whole: bool = False, more: tuple[str, ...] = ()
 ) -> DataFrame:
-    """doc_id, size, source_size, target, taken, key for every row.
+    """doc_id, size, source_size, target, taken, key for every row; the key is over id, source, text and ``more`` columns.
 
     ``whole`` takes the row at the cut whole if the cut lies in its second half and not
     at all otherwise; without it that row is taken up to the exact budget.
     """
     text = F.col(text_col).cast("string")
-    key = row_key(seed, F.col(id_col), F.col(source_col), text)
+    key = row_key(seed, F.col(id_col), F.col(source_col), text, *[F.col(f"`{c}`") for c in more])
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(text).alias("size"), key.alias("key"))
     rows = rows.withColumn("range", F.substring("key", 1, DIGITS))
     # Nulls don't meet in joins: the source's name as a key that is never null.
@@ -92,15 +93,10 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     from .ngram_join import fresh
 
     key, copies = fresh(docs, "linkmill_key"), fresh(docs, "linkmill_copies")
-    plan = mix_plan(docs, id_col, text_col, source_col, seed=seed, whole=True, **options)
-    # Equal rows have equal keys and may differ in what is taken: number them.
+    more = tuple(c for c in docs.columns if c not in (id_col, text_col, source_col))
+    plan = mix_plan(docs, id_col, text_col, source_col, seed=seed, whole=True, more=more, **options)
+    # Rows with one key agree in all columns and may differ in what is taken: together they are so many copies of one.
     plan = plan.where(F.col("taken") > 0).groupBy("key").agg(F.sum(F.floor(F.col("taken") / F.col("size"))).alias("copies"))
-    keyed = docs.withColumn(key, row_key(seed, F.col(id_col), F.col(source_col), F.col(text_col)))
-    same = F.row_number().over(W.partitionBy(key).orderBy(F.lit(1)))
-    out = keyed.join(plan.select(F.col("key").alias(key), F.col("copies").alias(copies)), key).withColumn(fresh(docs, "linkmill_same"), same)
-    same_col = out.columns[-1]
-    return (
-        out.where(F.col(same_col) == 1)
-        .withColumn(copies, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))))
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
-    )
+    keyed = docs.withColumn(key, row_key(seed, F.col(id_col), F.col(source_col), F.col(text_col).cast("string"), *[F.col(f"`{c}`") for c in more]))
+    out = keyed.dropDuplicates([key]).join(plan.select(F.col("key").alias(key), F.col("copies").alias(copies)), key)
+    return out.withColumn(copies, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -2,7 +2,8 @@
 
 Lineage is cut by writing Parquet below ``spark.checkpoint.dir`` and reading it
 back, so a lost executor costs only the tasks it ran.  The setting is read from
-the session; a folder of our own is used only where it is unset (tests).
+the session; a folder of our own is used only where it is unset and driver and
+executors are one process (tests).  The tables are deleted when the application ends.
 """
 
 from __future__ import annotations
@@ -16,9 +17,11 @@ _FALLBACK: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``, or one temporary folder per process where it is unset."""
+    """The session's ``spark.checkpoint.dir``; in local mode without it, one temporary folder a process."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         if "dir" not in _FALLBACK:
             _FALLBACK["dir"] = "file://" + tempfile.mkdtemp(prefix="linkmill-")
         base = _FALLBACK["dir"]
@@ -34,6 +37,8 @@ def write_table(df: DataFrame, name: str, path: str | None = None) -> tuple[Data
     spark = df.sparkSession
     path = path or new_path(spark, name)
     df.write.mode("overwrite").parquet(path)
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
     return spark.read.schema(df.schema).parquet(path), path
 
 
