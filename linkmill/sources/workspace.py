@@ -11,9 +11,11 @@ _OWN: list[str] = []
 
 
 def folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a temporary folder only where that is unset, as in tests."""
+    """``spark.checkpoint.dir`` of the session; in local mode without it, as in tests, a temporary folder."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         if not _OWN:
             _OWN.append("file://" + tempfile.mkdtemp(prefix="linkmill-index-"))
         base = _OWN[0]
@@ -24,4 +26,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet and reread: lineage is cut, and a lost executor costs only its tasks."""
     path = f"{folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    p = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).deleteOnExit(p)  # when the application ends
     return df.sparkSession.read.schema(df.schema).parquet(path)
