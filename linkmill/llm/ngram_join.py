@@ -4,22 +4,26 @@ Plan
     1. One pass hashes words and n-grams, and writes for each row its ``node`` (a
        128-bit hash of the word sequence, so equal word sequences are one node) and
        its band hashes.  Bands and rows a band follow from the target recall.
-    2. Shuffle on band hashes.  A bucket's least node is its leader; only the pairs
-       (leader, member) become candidates, never all pairs of a bucket.
-    3. Candidates are verified on their full n-gram sets.
+    2. Shuffle on band hashes.  Of buckets with the same members (near copies share
+       many) one is kept.  A bucket's least node is its leader; only the pairs (leader,
+       member) become candidates, never all pairs of a bucket.
+    3. Candidates are verified on their full n-gram sets: the members of a leader come
+       to its text in ``SALTS`` tasks, each holding one copy of it.
     4. Connected components by alternating large-star and small-star steps.
-    5. Buckets that still hold more than one component get a few rounds of pivots:
-       members outside a bucket's largest component are compared with some members of
-       it, which joins most of what belongs together at a linear price.
-    6. What then is still apart in a bucket is compared exactly, across components
-       only, in blocks inside tasks that give out links alone.  So no similar pair that
-       shares a bucket stays apart: every such pair ends up in one class.
+    5. Buckets of more than ``SMALL`` members that still hold more than one component get
+       a few rounds of pivots: members outside a bucket's largest component are compared
+       with some members of it, which joins most of what belongs together at a linear price.
+    6. What then is still apart in a bucket of three or more is compared exactly, across
+       components only, in blocks inside tasks that give out at most one link for each
+       component that they join.  So no similar pair that shares a bucket stays apart:
+       every such pair ends up in one class.
     7. Each class is compared with itself exactly, in blocks inside tasks that give out
        partial counts a node, not pairs: the number of links of each text.  The links
        themselves come from the same blocks, when they are asked for.
 
-Nothing is collected; hot buckets and hot nodes only meet aggregates with partial
-sums and joins that adaptive execution can split.
+Blocks come to the tasks sorted, many in a batch, so small ones cost little.  Nothing is
+collected; hot buckets and hot nodes only meet aggregates with partial sums, salted
+pieces and blocks of bounded size.
 
 Defined results: null, empty and wordless texts have no n-grams and are in a class
 of their own; a text of 1 to n-1 words has one n-gram, all its words; repeated rows
@@ -29,12 +33,12 @@ share a class; class ids are the least doc_id of the class (null if all are null
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,10 +50,13 @@ RECALL = 0.9999
 MAX_HASHES = 128
 PIVOTS = 4
 ROUNDS = 3
-CHUNK = 2048
-#: Members and bytes of text of a chunk of a class whose links are counted.
-COUNT_CHUNK = 256
-COUNT_BYTES = 8_000_000
+SMALL = 64
+#: Tasks that a leader's members are spread over, and those of a bucket.
+SALTS = 64
+SPREAD = 8
+#: Members and bytes of text of a chunk; two chunks make a block.
+CHUNK = 256
+CHUNK_BYTES = 8_000_000
 SLAB = 4096
 
 
@@ -136,155 +143,251 @@ def signatures(docs: DataFrame, id_col: str, text: str, n: int, bands: int, rows
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, schema)
 
 
+def _gram_sets(texts: pa.Array, n: int) -> list[np.ndarray]:
+    """The distinct n-grams of each text."""
+    grams: list[np.ndarray] = []
+    for b in words.blocks(texts):
+        flat, at = words.shingles(b.words, b.at, n)
+        grams += [np.unique(flat[x:y]) for x, y in zip(at[:-1], at[1:], strict=True)]
+    return grams
+
+
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    """How many values two sets share."""
+    both = np.sort(np.concatenate((x, y)), kind="stable")
+    return int((both[1:] == both[:-1]).sum())
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, n: int, threshold: float) -> DataFrame:
-    """Of pairs (a, b) of nodes, those whose full n-gram sets have the wanted Jaccard similarity."""
-    joined = (
-        pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-        .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-        .select("a", "b", "text_a", "text_b")
-    )
+    """Of pairs (a, b) of nodes, those whose full n-gram sets have the wanted Jaccard similarity.
+
+    The text of ``a`` is sent once for each of its salts that occurs, not once for each pair.
+    """
+    keyed = pairs.select("a", "b", F.pmod(F.xxhash64("b", F.lit(5)), F.lit(SALTS)).cast("int").alias("salt"))
+    own = texts.select("node", "text")
+    leads = keyed.select("a", "salt").distinct().join(own, F.col("a") == F.col("node")).select("a", "salt", F.lit(None).cast("binary").alias("b"), "text")
+    members = keyed.join(own, F.col("b") == F.col("node")).select("a", "salt", "b", "text")
+    both = leads.unionByName(members).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lead = np.zeros(0, np.uint64)
         for batch in batches:
-            a, b = batch.column(0), batch.column(1)
-            sims = np.empty(batch.num_rows)
-            sizes = np.asarray(pa.compute.binary_length(batch.column(2))) + np.asarray(pa.compute.binary_length(batch.column(3)))
-            for lo, hi in words.row_blocks(np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))), 2 * words.BLOCK_BYTES):
-                sets: list[list[np.ndarray]] = []
-                for col in (2, 3):
-                    one: list[np.ndarray] = []
-                    for block in words.blocks(batch.column(col).slice(lo, hi - lo)):
-                        grams, at = words.shingles(block.words, block.at, n)
-                        one += [np.unique(grams[x:y]) for x, y in zip(at[:-1], at[1:], strict=True)]
-                    sets.append(one)
-                for i, (x, y) in enumerate(zip(*sets, strict=True)):
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    sims[lo + i] = both / max(1, len(x) + len(y) - both)
+            is_lead = np.asarray(batch.column(2).is_null())
+            sims = np.full(batch.num_rows, -1.0)
+            for lo, hi in words.row_blocks(words.text_buffers(batch.column(3))[1], 2 * words.BLOCK_BYTES):
+                for i, grams in enumerate(_gram_sets(batch.column(3).slice(lo, hi - lo), n), lo):
+                    if is_lead[i]:
+                        lead = grams
+                    else:
+                        common = _common(lead, grams)
+                        sims[i] = common / max(1, len(lead) + len(grams) - common)
             keep = pa.array(sims >= threshold)
-            yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep), pa.array(sims).filter(keep)], names=["a", "b", "jaccard"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(2).filter(keep), pa.array(sims).filter(keep)], names=["a", "b", "jaccard"])
+
+    return both.mapInArrow(run, "a binary, b binary, jaccard double")
 
-    return joined.mapInArrow(run, "a binary, b binary, jaccard double")
+
+def _largest(placed: DataFrame, least: int, *more: Column) -> DataFrame:
+    """(bucket, members, top) of the buckets of at least ``least`` members with more than one component; ``top`` is the largest one, with aggregates ``more`` over it."""
+    parts = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("size"), *more)
+    top = F.max(F.struct("size", "root", *[c for c in parts.columns if c not in ("bucket", "root", "size")])).alias("top")
+    return parts.groupBy("bucket").agg(F.sum("size").alias("members"), F.count(F.lit(1)).alias("parts"), top).where((F.col("parts") > 1) & (F.col("members") >= least)).drop("parts")
+
+
+def _of_buckets(placed: DataFrame, buckets: DataFrame, on: Column | None = None) -> DataFrame:
+    """Members joined with rows about their buckets; a hot bucket's members meet them in ``SPREAD`` tasks."""
+    keyed = placed.withColumn("spread", F.pmod(F.xxhash64("node", F.lit(9)), F.lit(SPREAD)).cast("int"))
+    spread = buckets.withColumn("spread", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    joined = keyed.join(spread, ["bucket", "spread"]).drop("spread")
+    return joined if on is None else joined.where(on)
 
 
 def _pivot_pairs(placed: DataFrame, turn: int) -> DataFrame:
-    """For each bucket of more than one component: its members outside the largest one, with ``PIVOTS`` members of that.
+    """For each large bucket of more than one component: its members outside the largest one, with ``PIVOTS`` members of that.
 
     As many pairs as members times ``PIVOTS`` at most; each turn draws other pivots.
     """
     pivots = [F.min(F.struct(F.xxhash64("node", F.lit(turn * PIVOTS + k)).alias("h"), F.col("node").alias("p"))).alias(f"p{k}") for k in range(PIVOTS)]
-    parts = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("size"), *pivots)
-    largest = parts.groupBy("bucket").agg(F.max(F.struct("size", "root", *[F.col(f"p{k}.p").alias(f"p{k}") for k in range(PIVOTS)])).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    outside = placed.join(largest, "bucket").where(F.col("root") != F.col("top.root"))
-    pairs = outside.select("node", F.explode(F.array_distinct(F.array(*[F.col(f"top.p{k}") for k in range(PIVOTS)]))).alias("p"))
+    outside = _of_buckets(placed, _largest(placed, SMALL + 1, *pivots), F.col("root") != F.col("top.root"))
+    pairs = outside.select("node", F.explode(F.array_distinct(F.array(*[F.col(f"top.p{k}.p") for k in range(PIVOTS)]))).alias("p"))
     return pairs.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
 
 
-def _gram_sets(texts: pd.Series, n: int) -> list[np.ndarray]:
-    """The distinct n-grams of each text."""
-    grams: list[np.ndarray] = []
-    for b in words.blocks(pa.array(texts, pa.string())):
-        flat, at = words.shingles(b.words, b.at, n)
-        grams += [np.unique(flat[x:y]) for x, y in zip(at[:-1], at[1:], strict=True)]
-    return grams
-
+class Block:
+    """The rows of one block: one chunk of a group, or two chunks of it with each other."""
+
+    def __init__(self, rows: pa.RecordBatch, grams: list[np.ndarray]):
+        self.rows, self.grams = rows, grams
+        self.size = np.array([len(g) for g in grams])
+        chunk, i, j = (np.asarray(rows.column(c)) for c in ("chunk", "i", "j"))
+        self.same = i[0] == j[0]
+        self.left, self.right = np.flatnonzero(chunk == i[0]), np.flatnonzero(chunk == j[0])
+
+    def shared(self) -> np.ndarray:
+        """How many n-grams each row of the left chunk shares with each of the right one."""
+        if len(self.grams) <= 6:
+            return np.array([[_common(self.grams[x], self.grams[y]) for y in self.right] for x in self.left], np.int64).reshape(len(self.left), len(self.right))
+        _, gram = np.unique(np.concatenate(self.grams), return_inverse=True)
+        owner = np.repeat(np.arange(len(self.grams)), self.size)
+        out = np.zeros((len(self.left), len(self.right)), np.int64)
+        held = np.bincount(gram)
+        often = held * 16 > len(self.grams)
+        # N-grams of many members: matrix products, exact because no sum reaches 2**24.
+        column = np.cumsum(often) - 1
+        place = np.flatnonzero(often[gram] & (held[gram] > 1))
+        place = place[np.argsort(column[gram[place]], kind="stable")]
+        columns = column[gram[place]]
+        for lo in range(0, int(often.sum()), SLAB):
+            some = slice(*np.searchsorted(columns, (lo, lo + SLAB)))
+            has = np.zeros((len(self.grams), SLAB), np.float32)
+            has[owner[place[some]], columns[some] - lo] = 1
+            out += (has[self.left] @ has[self.right].T).astype(np.int64)
+        # The others: the lists of their holders.
+        rare = np.flatnonzero(~often[gram] & (held[gram] > 1))
+        order = rare[np.argsort(gram[rare], kind="stable")]
+        holders, first = owner[order], np.searchsorted(gram[order], np.arange(len(held) + 1))
+        at = np.searchsorted(owner[rare], np.arange(len(self.grams) + 1))
+        for k, x in enumerate(self.left):
+            own = gram[rare[at[x] : at[x + 1]]]
+            if len(own):
+                out[k] += np.bincount(np.concatenate([holders[first[g] : first[g + 1]] for g in own]), minlength=len(self.grams))[self.right]
+        return out
+
+    def links(self, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row numbers x and y and the similarity of every link; each pair once."""
+        shared = self.shared()
+        jaccard = shared / np.maximum(1, self.size[self.left][:, None] + self.size[self.right] - shared)
+        ok = jaccard >= threshold
+        x, y = np.nonzero(np.triu(ok, 1) if self.same else ok)
+        return self.left[x], self.right[y], jaccard[x, y]
+
+
+def _chunks(members: str, size: str) -> Column:
+    return F.greatest(F.ceil(F.col(members) / CHUNK), F.ceil(F.col(size) / CHUNK_BYTES), F.lit(1)).cast("int")
+
+
+def _side_by_side(rows: DataFrame, key: str, carry: list[str]) -> DataFrame:
+    """Rows (key, i, j, chunk, node, text and ``carry``), those of a block (key, i, j) next to each other."""
+    return rows.select(key, "i", "j", "chunk", "node", "text", *carry).repartition(key, "i", "j").sortWithinPartitions(key, "i", "j", "node")
+
+
+def _in_blocks(rows: DataFrame, n: int, each: Callable[[Block], pa.RecordBatch | None], schema: T.StructType) -> DataFrame:
+    """``each`` of every block of ``_side_by_side``; a block may reach over several batches."""
+
+    def whole(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        keys = [rows.column(k) for k in range(3)]
+        begins = np.flatnonzero(np.concatenate(([True], np.any([np.asarray(pc.not_equal(c[1:], c[:-1])) for c in keys], axis=0))))
+        ends = np.append(begins[1:], rows.num_rows)
+        # The n-grams of many small blocks at a time, of a large one alone.
+        sizes = np.concatenate(([0], np.cumsum(np.asarray(pc.binary_length(rows.column("text")), np.int64))))
+        for lo, hi in words.row_blocks(sizes[np.append(begins, rows.num_rows)], 2 * CHUNK_BYTES):
+            first, last = begins[lo], ends[hi - 1]
+            grams = _gram_sets(rows.column("text").slice(first, last - first), n)
+            found = [each(Block(rows.slice(x, y - x), grams[x - first : y - first])) for x, y in zip(begins[lo:hi], ends[lo:hi], strict=True) if y - x > 1]
+            yield from (f for f in found if f is not None and f.num_rows)
 
-def _links_across(block: pd.DataFrame, n: int, threshold: float) -> pd.DataFrame:
-    """All links between members of different components, of one chunk or of two chunks with each other."""
-    block = block.sort_values("node", ignore_index=True)
-    grams = _gram_sets(block["text"], n)
-    size = np.array([len(g) for g in grams])
-    _, gram = np.unique(np.concatenate(grams), return_inverse=True)
-    owner = np.repeat(np.arange(len(grams)), size)
-    order = np.argsort(gram, kind="stable")
-    holders, first = owner[order], np.searchsorted(gram[order], np.arange(int(gram.max()) + 2))
-    at = np.concatenate(([0], np.cumsum(size)))
-    root = pd.factorize(block["root"])[0]
-    chunk = block["chunk"].to_numpy()
-    two = block["i"].iat[0] != block["j"].iat[0]
-    largest = np.bincount(root).argmax()
-    out = []
-    for x in np.flatnonzero(root != largest):  # a pair across components has a member outside the largest one
-        own = gram[at[x] : at[x + 1]]
-        shared = np.bincount(np.concatenate([holders[first[g] : first[g + 1]] for g in own]), minlength=len(grams))
-        jaccard = shared / (size + size[x] - shared)
-        ok = (jaccard >= threshold) & (root != root[x]) & ((root == largest) | (np.arange(len(grams)) > x))
-        if two:
-            ok &= chunk != chunk[x]
-        out += [(block["node"][min(x, y)], block["node"][max(x, y)], float(jaccard[y])) for y in np.flatnonzero(ok)]
-    return pd.DataFrame(out, columns=["a", "b", "jaccard"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            last = [batch.column(k)[batch.num_rows - 1] for k in range(3)]
+            same = np.logical_and.reduce([np.asarray(pc.equal(batch.column(k), last[k])) for k in range(3)])
+            begin = int(np.flatnonzero(same)[0])  # of the block that the next batch may continue
+            if begin or (waiting and any(waiting[0].column(k)[waiting[0].num_rows - 1] != last[k] for k in range(3))):
+                rows = pa.Table.from_batches([*waiting, batch.slice(0, begin)]).combine_chunks().to_batches()
+                waiting = []
+                for r in rows:
+                    yield from whole(r)
+            waiting.append(batch.slice(begin))
+        for r in pa.Table.from_batches(waiting).combine_chunks().to_batches() if waiting else ():
+            yield from whole(r)
+
+    return rows.mapInArrow(run, schema)
+
+
+PAIR = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType()), T.StructField("jaccard", T.DoubleType())])
+COUNT = T.StructType([T.StructField("node", T.BinaryType()), T.StructField("n", T.LongType())])
+
+
+def _pairs_of(block: Block, x: np.ndarray, y: np.ndarray, jaccard: np.ndarray) -> pa.RecordBatch:
+    """Rows of a block are in the nodes' order, so the lesser row is the lesser node."""
+    nodes = block.rows.column("node")
+    return pa.RecordBatch.from_arrays([nodes.take(pa.array(np.minimum(x, y))), nodes.take(pa.array(np.maximum(x, y))), pa.array(jaccard)], names=["a", "b", "jaccard"])
+
+
+def _joining_links(block: Block, threshold: float) -> pa.RecordBatch | None:
+    """Links between different components of a block, as few as join what they join: fewer than there are components."""
+    root = np.unique(np.array(block.rows.column("root").to_pylist(), object), return_inverse=True)[1]
+    if not len(root) or (root == root[0]).all():
+        return None
+    x, y, jaccard = block.links(threshold)
+    across = root[x] != root[y]
+    x, y, jaccard = x[across], y[across], jaccard[across]
+    _, one = np.unique(np.minimum(root[x], root[y]) * len(root) + np.maximum(root[x], root[y]), return_index=True)  # one of two components is enough
+    up = list(range(len(root)))
+
+    def find(k: int) -> int:
+        while up[k] != k:
+            up[k] = up[up[k]]
+            k = up[k]
+        return k
+
+    keep = []
+    for k in one.tolist():
+        a, b = find(int(root[x[k]])), find(int(root[y[k]]))
+        if a != b:
+            up[a] = b
+            keep.append(k)
+    return _pairs_of(block, x[keep], y[keep], jaccard[keep])
 
 
 def _block_links(placed: DataFrame, texts: DataFrame, n: int, threshold: float) -> DataFrame:
-    """The links between different components of a bucket, found exactly, in blocks of two chunks of at most about ``CHUNK`` members.
+    """Links that join the components of a bucket that belong together, found exactly, in blocks.
 
-    This is for what the pivots left: pairs are compared inside a task and only links come out.
+    A pair across components has a member outside the largest one.  So chunks of outside
+    members (0, 1, ...) are compared with each other and with chunks of inside members
+    (-1, -2, ...), which are not compared among themselves.  A bucket of one chunk is one
+    block; a bucket of two has its only pair verified already.
     """
-    parts = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("size"))
-    split = parts.groupBy("bucket").agg(F.sum("size").alias("members"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    chunks = F.ceil(F.col("members") / CHUNK).cast("int")
-    left = placed.join(split, "bucket").select("bucket", "node", "root", F.pmod(F.xxhash64("node", F.lit(-1)), chunks).cast("int").alias("chunk"), chunks.alias("chunks"))
-    left = left.withColumn("c", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    keyed = left.select("bucket", F.least("chunk", "c").alias("i"), F.greatest("chunk", "c").alias("j"), "chunk", "node", "root")
-    return keyed.join(texts, "node").groupBy("bucket", "i", "j").applyInPandas(lambda block: _links_across(block, n, threshold), "a binary, b binary, jaccard double")
-
-
-def _links_within(block: pd.DataFrame, n: int, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row numbers x and y and the similarity of every link of one chunk, or of two chunks with each other; each pair once."""
-    grams = _gram_sets(block["text"], n)
-    size = np.array([len(g) for g in grams])
-    _, gram = np.unique(np.concatenate(grams), return_inverse=True)
-    owner = np.repeat(np.arange(len(grams)), size)
-    chunk, i, j = block["chunk"].to_numpy(), block["i"].iat[0], block["j"].iat[0]
-    left, right = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
-    shared = np.zeros((len(left), len(right)), np.int64)
-    held = np.bincount(gram)
-    often = held * 16 > len(grams)
-    # N-grams of many members: matrix products, exact because no sum reaches 2**24.
-    column = np.cumsum(often) - 1
-    place = np.flatnonzero(often[gram] & (held[gram] > 1))
-    place = place[np.argsort(column[gram[place]], kind="stable")]
-    columns = column[gram[place]]
-    for lo in range(0, int(often.sum()), SLAB):
-        some = slice(*np.searchsorted(columns, (lo, lo + SLAB)))
-        has = np.zeros((len(grams), SLAB), np.float32)
-        has[owner[place[some]], columns[some] - lo] = 1
-        shared += (has[left] @ has[right].T).astype(np.int64)
-    # The others: the lists of their holders.
-    rare = np.flatnonzero(~often[gram] & (held[gram] > 1))
-    order = rare[np.argsort(gram[rare], kind="stable")]
-    holders, first = owner[order], np.searchsorted(gram[order], np.arange(len(held) + 1))
-    at = np.searchsorted(owner[rare], np.arange(len(grams) + 1))
-    for k, x in enumerate(left):
-        own = gram[rare[at[x] : at[x + 1]]]
-        if len(own):
-            shared[k] += np.bincount(np.concatenate([holders[first[g] : first[g + 1]] for g in own]), minlength=len(grams))[right]
-    jaccard = shared / (size[left][:, None] + size[right] - shared)
-    ok = jaccard >= threshold
-    x, y = np.nonzero(np.triu(ok, 1) if i == j else ok)
-    return left[x], right[y], jaccard[x, y]
+    some = _of_buckets(placed, _largest(placed, 3).select("bucket", F.col("top.root").alias("top"))).join(texts, "node")
+    some = some.select("bucket", "node", "root", "text", (F.col("root") != F.col("top")).alias("outside"))
+    size, out = F.octet_length("text"), F.col("outside")
+    sizes = some.groupBy("bucket").agg(F.count(F.lit(1)).alias("all_n"), F.sum(size).alias("all_b"), F.count_if(out).alias("out_n"), F.sum(F.when(out, size).otherwise(0)).alias("out_b"))
+    sizes = sizes.withColumns({"in_n": F.col("all_n") - F.col("out_n"), "in_b": F.col("all_b") - F.col("out_b")})
+    sizes = sizes.select("bucket", _chunks("all_n", "all_b").alias("all"), _chunks("out_n", "out_b").alias("outs"), _chunks("in_n", "in_b").alias("ins"))
+    cut = _of_buckets(some, sizes)
+    own = F.when(F.col("all") == 1, F.lit(0)).when(F.col("outside"), F.pmod(F.xxhash64("node", F.lit(-2)), F.col("outs"))).otherwise(-1 - F.pmod(F.xxhash64("node", F.lit(-2)), F.col("ins"))).cast("int")
+    outs = F.sequence(F.lit(0), F.col("outs") - 1)
+    # An outside chunk meets all chunks; an inside one the outside chunks.
+    others = F.when(F.col("all") == 1, F.array(F.lit(0))).when(F.col("outside"), F.concat(outs, F.sequence(F.lit(-1), -F.col("ins")))).otherwise(outs)
+    cut = cut.withColumn("chunk", own).withColumn("c", F.explode(others))
+    # The larger number first: an inside chunk is always the second one.
+    rows = cut.withColumns({"i": F.greatest("chunk", "c"), "j": F.least("chunk", "c")})
+    return _in_blocks(_side_by_side(rows, "bucket", ["root"]), n, lambda block: _joining_links(block, threshold), PAIR)
 
 
 def _class_blocks(roots: DataFrame, texts: DataFrame, least: int) -> DataFrame:
-    """(root, i, j, chunk, node, text): the members of each class of at least ``least`` nodes, in blocks of two chunks."""
+    """The members of each class of at least ``least`` nodes, in blocks of two chunks."""
     nodes = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
     placed = nodes.join(texts, "node").select("root", "node", "text")
     sizes = placed.groupBy("root").agg(F.count(F.lit(1)).alias("members"), F.sum(F.octet_length("text")).alias("bytes")).where(F.col("members") >= least)
-    chunks = F.greatest(F.ceil(F.col("members") / COUNT_CHUNK), F.ceil(F.col("bytes") / COUNT_BYTES)).cast("int")
-    sizes = sizes.select("root", chunks.alias("chunks"))
+    sizes = sizes.select("root", _chunks("members", "bytes").alias("chunks"))
     chunk = F.pmod(F.xxhash64("node", F.lit(-2)), F.col("chunks")).cast("int").alias("chunk")
     cut = placed.join(sizes, "root").select("root", "node", "text", chunk, F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("c"))
-    return cut.select("root", F.least("chunk", "c").alias("i"), F.greatest("chunk", "c").alias("j"), "chunk", "node", "text")
+    return _side_by_side(cut.withColumns({"i": F.greatest("chunk", "c"), "j": F.least("chunk", "c")}), "root", [])
 
 
 def link_counts(roots: DataFrame, texts: DataFrame, n: int, threshold: float) -> DataFrame:
     """(node, n_links) of every node with links: exact, and without a row for each pair."""
 
-    def count(block: pd.DataFrame) -> pd.DataFrame:
-        x, y, _ = _links_within(block, n, threshold)
-        times = np.bincount(np.concatenate((x, y)), minlength=len(block))
-        return pd.DataFrame({"node": block["node"], "n": times})[times > 0]
+    def count(block: Block) -> pa.RecordBatch:
+        x, y, _ = block.links(threshold)
+        times = np.bincount(np.concatenate((x, y)), minlength=block.rows.num_rows)
+        some = np.flatnonzero(times)
+        return pa.RecordBatch.from_arrays([block.rows.column("node").take(pa.array(some)), pa.array(times[some])], names=["node", "n"])
 
-    blocks = _class_blocks(roots, texts, 3).groupBy("root", "i", "j").applyInPandas(count, "node binary, n long")
+    blocks = _in_blocks(_class_blocks(roots, texts, 3), n, count, COUNT)
     # The two nodes of a class of two have the one link that made it.
     two = roots.groupBy("root").agg(F.count(F.lit(1)).alias("others"), F.min("node").alias("node")).where("others = 1")
     two = two.select(F.explode(F.array("root", "node")).alias("node"), F.lit(1).cast("long").alias("n"))
@@ -293,14 +396,7 @@ def link_counts(roots: DataFrame, texts: DataFrame, n: int, threshold: float) ->
 
 def all_links(roots: DataFrame, texts: DataFrame, n: int, threshold: float) -> DataFrame:
     """(a, b, jaccard): every link inside a class, each once; as many rows as there are links."""
-
-    def pairs(block: pd.DataFrame) -> pd.DataFrame:
-        x, y, jaccard = _links_within(block, n, threshold)
-        nodes = block["node"].tolist()
-        ends = [(min(nodes[p], nodes[q]), max(nodes[p], nodes[q])) for p, q in zip(x.tolist(), y.tolist(), strict=True)]
-        return pd.DataFrame({"a": [a for a, _ in ends], "b": [b for _, b in ends], "jaccard": jaccard})
-
-    return _class_blocks(roots, texts, 2).groupBy("root", "i", "j").applyInPandas(pairs, "a binary, b binary, jaccard double")
+    return _in_blocks(_class_blocks(roots, texts, 2), n, lambda block: _pairs_of(block, *block.links(threshold)), PAIR)
 
 
 def connected_components(edges: DataFrame, name: str = "components") -> tuple[DataFrame, list[str]]:
@@ -353,8 +449,12 @@ def ngram_join(
     bands, rows = band_plan(threshold, recall, max_hashes)
     sig, sig_path = store.write_table(signatures(docs, id_col, text_col, n, bands, rows), "signatures")
     member = sig.where(F.col("node").isNotNull()).select(F.explode("bands").alias("bucket"), "node")
-    shared = member.groupBy("bucket").agg(F.min("node").alias("lead"), F.max("node").alias("top")).where("lead < top").select("bucket", "lead")
-    members, members_path = store.write_table(member.join(shared, "bucket").select("bucket", "lead", "node").distinct(), "members")
+    member = member.distinct()
+    # Buckets with the same members, told by 128 bits of hashes over them, are one.
+    marks = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"mark{k}") for k in range(2)]
+    shared = member.groupBy("bucket").agg(F.min("node").alias("lead"), F.max("node").alias("top"), F.count(F.lit(1)).alias("members"), *marks).where("lead < top")
+    kept = shared.groupBy("lead", "top", "members", "mark0", "mark1").agg(F.min("bucket").alias("bucket")).select("bucket", "lead")
+    members, members_path = store.write_table(member.join(kept, "bucket").select("bucket", "lead", "node"), "members")
     star, star_path = store.write_table(members.where("lead < node").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(), "star")
 
     source = docs.select(F.col(text_col).cast("string").alias("text"))

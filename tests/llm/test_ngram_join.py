@@ -45,19 +45,61 @@ def test_classes_equal_brute_force(odd_docs):
     assert linked[2] > 0 and linked[3] == 0
 
 
-def test_exact_remainder_finds_every_link(spark):
+def test_exact_remainder_joins_what_belongs_together(spark, monkeypatch):
+    """Buckets whose members are all apart, in chunks of a few members: the links given out join the components as all links would."""
     import random
 
-    import pandas as pd
-
     r = random.Random(2)
     base = [f"b{i}" for i in range(60)]
     texts = [" ".join(base[: 60 - k % 7] + [f"t{k}"] * (k % 3)) for k in range(40)] + [" ".join(f"o{r.randrange(99)}" for _ in range(30)) for _ in range(5)]
-    block = pd.DataFrame({"node": [f"{k:02d}".encode() for k in range(45)], "text": texts, "root": [f"{k % 11}".encode() for k in range(45)], "chunk": 0, "i": 0, "j": 0})
-    got = {(a, b) for a, b in J._links_across(block, 5, 0.8)[["a", "b"]].itertuples(index=False)}
+    names = [f"{k:02d}".encode() for k in range(45)]
+    rows = [(bucket, bytearray(names[k]), bytearray(f"{k % 11}".encode())) for bucket in (7, 8) for k in range(45) if bucket == 7 or k < 20]
+    placed = spark.createDataFrame(rows, "bucket long, node binary, root binary")
+    held = spark.createDataFrame([(bytearray(n), t) for n, t in zip(names, texts, strict=True)], "node binary, text string")
     sets = [grams(t) for t in texts]
-    want = {(block["node"][i], block["node"][j]) for j in range(45) for i in range(j) if block["root"][i] != block["root"][j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
-    assert got == want
+
+    def joined(pairs):
+        up = list(range(11))
+        for i, j in pairs:
+            a, b = (up[k % 11] for k in (i, j))
+            up = [a if x == b else x for x in up]
+        return [[up[i] == up[j] for j in range(11)] for i in range(11)]
+
+    want = [(i, j) for j in range(45) for i in range(j) if i % 11 != j % 11 and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    for chunk in (256, 9):
+        monkeypatch.setattr(J, "CHUNK", chunk)
+        got = [(int(bytes(q["a"])), int(bytes(q["b"]))) for q in J._block_links(placed, held, 5, 0.8).collect()]
+        assert set(got) <= set(want) and joined(got) == joined(want)
+        if chunk == 256:
+            assert len(got) <= 2 * 10 < len(want)
+
+
+def test_counts_over_chunks_and_batches_equal_brute_force(spark, monkeypatch):
+    """A class in many chunks, and Arrow batches of a few rows, so that blocks reach over them."""
+    import random
+
+    r = random.Random(3)
+    base = [f"b{i}" for i in range(80)]
+    texts = {}
+    for k in range(60):
+        own = base[:]
+        for _ in range(k % 4):
+            own[r.randrange(80)] = f"e{r.randrange(9)}"
+        texts[f"{k:02d}".encode()] = " ".join(own)
+    classes_ = {n: b"00" if int(n) < 40 else b"40" if int(n) < 43 else b"43" for n in texts}
+    roots = spark.createDataFrame([(bytearray(n), bytearray(c)) for n, c in classes_.items() if n != c], "node binary, root binary")
+    held = spark.createDataFrame([(bytearray(n), t) for n, t in texts.items()], "node binary, text string")
+    sets = {n: grams(t) for n, t in texts.items()}
+    want = {n: c for n in texts if (c := sum(m != n and classes_[m] == classes_[n] and len(sets[m] & sets[n]) >= 0.8 * len(sets[m] | sets[n]) for m in texts))}
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for chunk, batch in ((256, 10_000), (7, 10_000), (7, 5), (256, 3)):
+            monkeypatch.setattr(J, "CHUNK", chunk)
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+            assert {bytes(q["node"]): q["n_links"] for q in J.link_counts(roots, held, 5, 0.8).collect()} == want
+            assert J.all_links(roots, held, 5, 0.8).count() == sum(want.values()) // 2
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
 
 
 def test_one_of_each_class_stays(odd_docs, spark):

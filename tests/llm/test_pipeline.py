@@ -32,6 +32,16 @@ def test_stages(spark, folder):
     assert corpus_pipeline.run(spark, folder).count() == counts[-1]
 
 
+def test_empty_tables(spark, folder, tmp_path):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    docs.limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{folder}/benchmark.parquet").limit(0).write.parquet(f"{tmp_path}/benchmark.parquet")
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs.limit(0), str(tmp_path))
+        assert out.count() == 0 and (k == 4 or out.columns == docs.columns)
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_names():
     names = list(queries.queries())
     assert [n.split("_")[0] for n in names[:10]] == [f"op{k}" for k in range(1, 11)] and names[-1] == "pipeline"
