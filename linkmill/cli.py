@@ -23,11 +23,6 @@ LOG = logging.getLogger("linkmill")
 ROW = "linkmill_row"
 
 
-def _numbered(df):
-    """A 0-based row number in input order; one file is one partition's sequence, so the numbers are dense."""
-    return df.withColumn(ROW, F.monotonically_increasing_id())
-
-
 def build_index(spark: SparkSession, a: argparse.Namespace) -> None:
     meta = {"include_establishments": a.include_establishments, "include_historical_addresses": a.include_historical_addresses}
     if a.reference:
@@ -41,7 +36,7 @@ def build_index(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def _contacts(spark: SparkSession, a: argparse.Namespace, required: tuple[str, ...]):
-    original = stored(_numbered(tabular.read_tabular(spark, a.input, a.sheet, a.encoding, a.delimiter)), "input")
+    original = stored(tabular.numbered(tabular.read_tabular(spark, a.input, a.sheet, a.encoding, a.delimiter), ROW), "input")
     columns = tabular.resolve_columns([c for c in original.columns if c != ROW], CONTACT_ALIASES, tabular.parse_column_map(a.column_map), required)
     return original, stored(contacts.normalise(original, columns, ROW), "contacts")
 
@@ -94,6 +89,9 @@ def parser() -> argparse.ArgumentParser:
         b.add_argument(flag, action="store_true")
     for flag in ("--column-map", "--encoding", "--delimiter"):
         b.add_argument(flag)
+    # Reading in chunks and caching are Spark's; accepted so that existing calls work.
+    for flag in ("--chunk-size", "--cache-mb"):
+        b.add_argument(flag, type=int)
     b.set_defaults(run=build_index)
     for name, run in (("match", match), ("evaluate", run_evaluate)):
         m = sub.add_parser(name)
@@ -102,6 +100,8 @@ def parser() -> argparse.ArgumentParser:
         for flag in ("--column-map", "--sheet", "--encoding", "--delimiter", "--config"):
             m.add_argument(flag)
         m.add_argument("--top-k", type=int)
+        # Progress is Spark's to show; accepted so that existing calls work.
+        m.add_argument("--progress-every", type=int, default=0)
         if name == "match":
             m.add_argument("--output-format", choices=("xlsx", "csv", "both"), default="both")
             m.add_argument("--match-all", action="store_true")

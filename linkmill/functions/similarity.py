@@ -8,6 +8,7 @@ use goes through one Arrow UDF that computes each distinct pair of a batch once.
 from __future__ import annotations
 
 import functools
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -116,18 +117,26 @@ def scores(a: str, b: str) -> tuple[float, float, float, float]:
     return max(0.0, min(100.0, combined)), weighted, token_set, token_sort
 
 
-SCORES = T.StructType([T.StructField(name, T.DoubleType()) for name in ("combined", "weighted", "token_set", "token_sort")])
+SCORES = T.StructType([*[T.StructField(name, T.DoubleType()) for name in ("combined", "weighted", "token_set", "token_sort")], T.StructField("error", T.StringType())])
 
 
-@F.pandas_udf(SCORES)
-def similarity(left: pd.Series, right: pd.Series) -> pd.DataFrame:
-    """Scores of two text columns; each distinct pair is computed once a batch."""
-    return pd.DataFrame([scores(a or "", b or "") for a, b in zip(left, right, strict=True)], columns=SCORES.names)
+def contained(a: str | None, b: str | None, score: Callable[[str, str], tuple] = scores) -> tuple:
+    """The scores and no error; or zeros and the error that one pair raised, which must not end the job."""
+    try:
+        return *score(a or "", b or ""), None
+    except Exception as e:
+        return 0.0, 0.0, 0.0, 0.0, str(e) or type(e).__name__
 
 
+def scorer(score: Callable[[str, str], tuple] = scores):
+    """Column function of two text columns: a struct of the scores and the error, if any."""
 
+    @F.pandas_udf(SCORES)
+    def similarity(columns: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for left, right in columns:
+            yield pd.DataFrame([contained(a, b, score) for a, b in zip(left, right, strict=True)], columns=SCORES.names)
 
-@F.pandas_udf(T.DoubleType())
-def combined_similarity(left: pd.Series, right: pd.Series) -> pd.Series:
-    """The combined score alone."""
-    return pd.Series([scores(a or "", b or "")[0] for a, b in zip(left, right, strict=True)], dtype="float64")
+    return similarity
+
+
+similarity = scorer()

@@ -11,8 +11,9 @@ from linkmill.functions import normalize as N
 def normalise(df: DataFrame, columns: dict[str, str | None], order: str | None = None) -> DataFrame:
     """One normalised record for each row; explicit columns win over the one-line address, field by field.
 
-    ``order`` names a 0-based row number; without it rows are numbered as they are read.
-    ``source_row_number`` counts as a spreadsheet does, the header being row 1.
+    ``order`` names a 0-based row number (``tabular.numbered`` makes one); without it rows get
+    increasing numbers with gaps.  ``source_row_number`` counts as a spreadsheet does, the
+    header being row 1.
     """
     col = lambda k: N.safe_text(F.col(f"`{columns[k]}`")) if columns.get(k) else F.lit("")
     parsed = N.full_address(col("full_address")) if columns.get("full_address") else {}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from linkmill.config import MatchConfig
 from linkmill.functions import normalize as N
-from linkmill.functions.similarity import combined_similarity, similarity
+from linkmill.functions.similarity import similarity
 from linkmill.operators.registry import Registry, name_frequencies
 
 # Weights of the parts of an address and of a candidate's score.
@@ -35,22 +35,20 @@ def weighted_mean(weights: dict[str, float], values: dict[str, Column]) -> tuple
     return F.coalesce(F.try_divide(parts, total), F.lit(0.0)), total
 
 
-def best_names(pairs: DataFrame, names: DataFrame) -> DataFrame:
+def best_names(pairs: DataFrame, names: DataFrame, similarity=similarity) -> DataFrame:
     """The closest name variant of each pair; without any likeness the canonical one (least priority, then name)."""
     own = names.select("enterprise_number", F.col("id").alias("name_id"), F.col("name").alias("matched_name"), F.col("name_norm").alias("matched_name_norm"), F.col("priority").alias("name_priority"))
     joined = pairs.select("source_row_number", "enterprise_number", "name_norm").join(own, "enterprise_number")
     scored = joined.withColumn("s", similarity("name_norm", "matched_name_norm"))
     order = F.struct((-F.col("s.combined")).alias("a"), F.col("name_priority").alias("b"), F.when(F.col("s.combined") > 0, F.col("name_id")).alias("c"), F.col("matched_name").alias("d"), "matched_name_norm", "s")
-    best = scored.groupBy("source_row_number", "enterprise_number").agg(F.min(order).alias("m"))
-    return best.select("source_row_number", "enterprise_number", F.col("m.d").alias("matched_name"), "m.matched_name_norm", F.col("m.s.combined").alias("name_raw"), F.col("m.s.weighted").alias("name_wratio"), F.col("m.s.token_set").alias("name_token_set"), F.col("m.s.token_sort").alias("name_token_sort"))
+    best = scored.groupBy("source_row_number", "enterprise_number").agg(F.min(order).alias("m"), F.max("s.error").alias("name_error"))
+    return best.select("source_row_number", "enterprise_number", "name_error", F.col("m.d").alias("matched_name"), "m.matched_name_norm", F.col("m.s.combined").alias("name_raw"), F.col("m.s.weighted").alias("name_wratio"), F.col("m.s.token_set").alias("name_token_set"), F.col("m.s.token_sort").alias("name_token_sort"))
 
 
-def address_features(joined: DataFrame) -> DataFrame:
+def address_features(joined: DataFrame, similarity=similarity) -> DataFrame:
     """Street, city and categorical features of contact and registry address columns (``r_`` ones), and their aggregate."""
-    out = joined.withColumns({
-        "street_sim": F.greatest(combined_similarity("street_norm", "r_street_norm"), combined_similarity("street_core", "r_street_core")),
-        "city_sim": combined_similarity("city_norm", "r_city_norm"),
-    })
+    out = joined.withColumns({"s1": similarity("street_norm", "r_street_norm"), "s2": similarity("street_core", "r_street_core"), "s3": similarity("city_norm", "r_city_norm")})
+    out = out.withColumns({"street_sim": F.greatest("s1.combined", "s2.combined"), "city_sim": F.col("s3.combined"), "address_error": F.coalesce("s1.error", "s2.error", "s3.error")}).drop("s1", "s2", "s3")
     features = {}
     for part, left, right in (("house", "house_norm", "r_house_norm"), ("box", "box_norm", "r_box_norm"), ("postcode", "postcode_norm", "r_postcode")):
         features[f"{part}_component"], features[f"{part}_match"] = compare(F.col(left), F.col(right), part == "house")
@@ -71,24 +69,25 @@ CONTACT = ["street_norm", "street_core", "house_norm", "box_norm", "postcode_nor
 ADDRESS = {"street": "r_street", "street_norm": "r_street_norm", "street_core": "r_street_core", "house_number": "r_house_number", "house_number_norm": "r_house_norm", "box": "r_box", "box_norm": "r_box_norm", "postcode": "r_postcode", "city": "r_city", "city_norm": "r_city_norm"}
 
 
-def best_addresses(pairs: DataFrame, addresses: DataFrame) -> DataFrame:
+def best_addresses(pairs: DataFrame, addresses: DataFrame, similarity=similarity) -> DataFrame:
     """The best address of each pair: largest aggregate, then least (priority, id); empty without any address."""
     own = addresses.select("enterprise_number", F.col("id").alias("address_id"), F.col("priority").alias("address_priority"), *[F.col(a).alias(b) for a, b in ADDRESS.items()])
     joined = pairs.select("source_row_number", "enterprise_number", *CONTACT).join(own, "enterprise_number", "left").fillna("", list(ADDRESS.values()))
-    scored = address_features(joined)
-    keep = [c for c in scored.columns if c not in ("source_row_number", "enterprise_number", "address_score", "address_priority", "address_id", *CONTACT)]
-    best = scored.groupBy("source_row_number", "enterprise_number").agg(F.min(F.struct((-F.col("address_score")).alias("a"), F.col("address_priority").alias("b"), F.col("address_id").alias("c"), *keep)).alias("m"))
-    return best.select("source_row_number", "enterprise_number", *[F.col(f"m.{c}").alias(c) for c in keep])
+    scored = address_features(joined, similarity)
+    keep = [c for c in scored.columns if c not in ("source_row_number", "enterprise_number", "address_score", "address_priority", "address_id", "address_error", *CONTACT)]
+    best = scored.groupBy("source_row_number", "enterprise_number").agg(F.min(F.struct((-F.col("address_score")).alias("a"), F.col("address_priority").alias("b"), F.col("address_id").alias("c"), *keep)).alias("m"), F.max("address_error").alias("address_error"))
+    return best.select("source_row_number", "enterprise_number", "address_error", *[F.col(f"m.{c}").alias(c) for c in keep])
 
 
+# The reasons' and contradictions' texts below are fixed values, as results show them.
 def _texts(entries: list[tuple[Column, Column | str]]) -> Column:
     """The texts whose conditions hold, in order."""
     items = F.array(*[F.when(cond, F.lit(text) if isinstance(text, str) else text) for cond, text in entries])
     return F.filter(items, lambda x: x.isNotNull())
 
 
-def score_pairs(pairs: DataFrame, registry: Registry) -> DataFrame:
-    """All features, the score, reasons and contradictions of (contact, enterprise) pairs.
+def score_pairs(pairs: DataFrame, registry: Registry, similarity=similarity) -> DataFrame:
+    """All features, the score, reasons and contradictions of (contact, enterprise) pairs; ``error`` where one couldn't be scored.
 
     ``pairs`` has the contact's normalised columns, enterprise_number and rules.
     """
@@ -96,10 +95,10 @@ def score_pairs(pairs: DataFrame, registry: Registry) -> DataFrame:
     # A number that the enterprise table lacks has no names or addresses here, even if those tables know it.
     listed = registry.enterprise.select("enterprise_number")
     keys = ["source_row_number", "enterprise_number"]
-    df = known.join(best_names(pairs, registry.name.join(listed, "enterprise_number", "left_semi")), keys, "left")
-    df = df.join(best_addresses(pairs, registry.address.join(listed, "enterprise_number", "left_semi")).drop(*CONTACT), keys)
+    df = known.join(best_names(pairs, registry.name.join(listed, "enterprise_number", "left_semi"), similarity), keys, "left")
+    df = df.join(best_addresses(pairs, registry.address.join(listed, "enterprise_number", "left_semi"), similarity).drop(*CONTACT), keys)
     df = df.join(name_frequencies(registry.name), "name_norm", "left").fillna("", ["matched_name", "matched_name_norm", "status"]).fillna(0, ["name_raw", "name_wratio", "name_token_set", "name_token_sort", "frequency"])
-    return apply_score(df)
+    return apply_score(df).withColumn("error", F.coalesce("name_error", "address_error"))
 
 
 def apply_score(df: DataFrame) -> DataFrame:
@@ -149,9 +148,10 @@ def apply_score(df: DataFrame) -> DataFrame:
     out = out.withColumn("hard_contradictions", F.filter("contradictions", lambda x: x.isin(*HARD)))
     capped = F.when(has_name, F.least("raw_score", cap)).otherwise(F.col("raw_score"))
     capped = F.when(F.size("hard_contradictions") > 0, F.least(capped, F.lit(84.0))).otherwise(capped)
-    rounded = {a: F.round(b, 2) for a, b in (("name_score", "name_raw"), ("name_wratio", "name_wratio"), ("name_token_set", "name_token_set"), ("name_token_sort", "name_token_sort"), ("street_score", "street_sim"), ("city_score", "city_sim"))}
     # Nine decimals first: the last bits of a sum must not decide a tie.
-    return out.withColumns({"score": F.round(F.round(F.greatest(F.lit(0.0), F.least(F.lit(100.0), capped)), 9), 2), **rounded})
+    two = lambda x: F.round(F.round(x, 9), 2)
+    rounded = {a: two(F.col(b)) for a, b in (("name_score", "name_raw"), ("name_wratio", "name_wratio"), ("name_token_set", "name_token_set"), ("name_token_sort", "name_token_sort"), ("street_score", "street_sim"), ("city_score", "city_sim"))}
+    return out.withColumns({"score": two(F.greatest(F.lit(0.0), F.least(F.lit(100.0), capped))), **rounded})
 
 
 def eligible_certain(config: MatchConfig) -> Column:

@@ -160,16 +160,22 @@ _TOKENS = D.longest_sql("list_filter(string_split(street_core, ' '), lambda t: l
 _CONTACT_ANCHOR = f"(SELECT *, coalesce({_TOKENS}[1], '') AS street_anchor FROM contacts)"
 
 
-def _block_sql(rule: blocking.Rule) -> str:
-    cap = blocking._cap(rule, MatchConfig())
+def _hits_of(rule: blocking.Rule, source: str = "contacts") -> str:
+    """(source_row_number, rule, priority, enterprise_number, n, most) of one rule over a table of contacts, up to its cap and one more."""
+    most = blocking._cap(rule, MatchConfig()) + 1
+    anchored = f"(SELECT *, coalesce({_TOKENS}[1], '') AS street_anchor FROM {source})"
     if rule.name == "name_anchor":
         generic = D._sql_list(D.V.GENERIC_NAME_WORDS)
-        pairs = f"""SELECT DISTINCT source_row_number, 'name_anchor:' || a AS rule, enterprise_number FROM (SELECT source_row_number, unnest(anchors) AS a FROM contacts) c
+        pairs = f"""SELECT DISTINCT source_row_number, 'name_anchor:' || a AS rule, enterprise_number FROM (SELECT source_row_number, unnest(anchors) AS a FROM {source}) c
           JOIN (SELECT enterprise_number, unnest(anchors) AS b FROM names) r ON a = b AND length(a) >= 4 AND NOT list_contains({generic}, a)"""
     else:
         table, on = _ON[rule.name]
-        pairs = f"SELECT DISTINCT c.source_row_number, '{rule.name}' AS rule, r.enterprise_number FROM {_CONTACT_ANCHOR} c JOIN {table} r ON {on}"
-    return f"WITH {D.BASE} SELECT source_row_number, rule, enterprise_number, n FROM (SELECT *, row_number() OVER (PARTITION BY source_row_number, rule ORDER BY enterprise_number) AS n FROM ({pairs})) WHERE n <= {cap + 1}"
+        pairs = f"SELECT DISTINCT c.source_row_number, '{rule.name}' AS rule, r.enterprise_number FROM {anchored} c JOIN {table} r ON {on}"
+    return f"SELECT source_row_number, rule, {rule.priority} AS priority, enterprise_number, n, {most} AS most FROM (SELECT *, row_number() OVER (PARTITION BY source_row_number, rule ORDER BY enterprise_number) AS n FROM ({pairs})) WHERE n <= {most}"
+
+
+def _block_sql(rule: blocking.Rule) -> str:
+    return f"WITH {D.BASE} SELECT source_row_number, rule, enterprise_number, n FROM ({_hits_of(rule)})"
 
 
 def _block(rule: blocking.Rule) -> Query:
@@ -210,20 +216,9 @@ def phase_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocking.unsettled(contacts, blocking.block_hits(contacts, D.derived_registry(spark, sf_dir), 1, _TIGHT)).select("source_row_number")
 
 
-@_query(f"""WITH {D.BASE}, hits AS ({_hits_sql(_PHASE1, 3)}),
-found AS (SELECT source_row_number, enterprise_number, count(DISTINCT rule) AS rules, max(priority) AS priority FROM hits WHERE n <= 3 GROUP BY ALL)
-SELECT source_row_number, enterprise_number, rules, CAST(priority AS BIGINT) AS priority, place FROM (SELECT *, row_number() OVER (PARTITION BY source_row_number ORDER BY priority DESC, rules DESC, enterprise_number) AS place FROM found) WHERE place <= 5""")
-def candidate_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import Window as W
-
-    hits = blocking.block_hits(D.derived_contacts(spark, sf_dir), D.derived_registry(spark, sf_dir), 1, _TIGHT)
-    found = hits.where("n < most").groupBy("source_row_number", "enterprise_number").agg(F.countDistinct("rule").alias("rules"), F.max("priority").cast("long").alias("priority"))
-    place = F.row_number().over(W.partitionBy("source_row_number").orderBy(F.col("priority").desc(), F.col("rules").desc(), "enterprise_number"))
-    return found.withColumn("place", place).where(F.col("place") <= 5).withColumn("place", F.col("place").cast("long"))
-
-
-@_query(f"""WITH {D.BASE},
-asked AS (SELECT source_row_number, array_to_string(search, ' ') AS query, search, CASE WHEN postcode_norm <> '' OR city_norm <> '' OR street_core <> '' OR house_base <> '' THEN 140 ELSE 300 END AS most FROM contacts WHERE len(search) > 0),
+def _search_sql(source: str = "contacts") -> str:
+    """(source_row_number, enterprise_number, n, most) of the prefix search over a table of contacts."""
+    return f"""WITH asked AS (SELECT source_row_number, array_to_string(search, ' ') AS query, search, CASE WHEN postcode_norm <> '' OR city_norm <> '' OR street_core <> '' OR house_base <> '' THEN 140 ELSE 300 END AS most FROM {source} WHERE len(search) > 0),
 queries AS (SELECT DISTINCT query, unnest(search) AS term FROM (SELECT DISTINCT query, search FROM asked)),
 rows AS (SELECT id, enterprise_number, string_split(name_norm, ' ') AS tokens, len(string_split(name_norm, ' ')) AS size FROM names),
 stats AS (SELECT count(*) AS n, avg(size) AS mean FROM rows),
@@ -233,12 +228,36 @@ df AS (SELECT term, count(*) AS df FROM matched GROUP BY term),
 weights AS (SELECT term, CASE WHEN ln((n - df + 0.5) / (df + 0.5)) <= 0 THEN 1e-6 ELSE ln((n - df + 0.5) / (df + 0.5)) END AS idf, mean FROM df, stats),
 ranked AS (SELECT query, id, enterprise_number, round(sum(idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * size / mean))), 9) AS relevance FROM queries JOIN matched USING (term) JOIN weights USING (term) GROUP BY ALL),
 placed AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY relevance DESC, id) AS n FROM ranked)
-SELECT source_row_number, enterprise_number, n FROM asked JOIN placed USING (query) WHERE n <= most + 1""")
+SELECT source_row_number, enterprise_number, n, most + 1 AS most FROM asked JOIN placed USING (query) WHERE n <= most + 1"""
+
+
+@_query(f"WITH {D.BASE} SELECT source_row_number, enterprise_number, n FROM ({_search_sql()})")
 def name_fts_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = blocking.search_hits(D.derived_contacts(spark, sf_dir), D.derived_registry(spark, sf_dir).name, MatchConfig())
     return hits.select("source_row_number", "enterprise_number", F.col("n").cast("long").alias("n"))
 
 
+def _found_sql(source: str = "contacts") -> str:
+    """Table expressions up to ``found``: all candidates of both phases within all caps, and ``cuts``: which contacts lost some."""
+    settling = ", ".join(f"'{r}'" for r in blocking.SETTLING)
+    union = lambda phase, source: " UNION ALL ".join(_hits_of(r, source) for r in blocking.RULES if r.phase == phase)
+    return f"""h1 AS ({union(1, source)}),
+settled AS (SELECT source_row_number FROM h1 GROUP BY 1 HAVING bool_or(rule IN ({settling})) AND NOT bool_or(n = most)),
+more AS (SELECT c.* FROM {source} c ANTI JOIN settled USING (source_row_number)),
+hits AS (SELECT * FROM h1 UNION ALL {union(2, "more")} UNION ALL SELECT source_row_number, 'name_fts' AS rule, {blocking.SEARCH_PRIORITY} AS priority, enterprise_number, n, most FROM ({_search_sql("more")})),
+kept AS (SELECT source_row_number, enterprise_number, count(DISTINCT rule) AS rules, list_sort(list(DISTINCT rule)) AS rule_list, CAST(max(priority) AS BIGINT) AS priority FROM hits WHERE n < most GROUP BY ALL),
+places AS (SELECT *, row_number() OVER (PARTITION BY source_row_number ORDER BY priority DESC, rules DESC, enterprise_number) AS place FROM kept),
+cuts AS (SELECT source_row_number, bool_or(h.n = h.most) OR coalesce(any_value(places), 0) > 700 AS candidates_truncated, least(coalesce(any_value(places), 0), 700) AS candidate_count
+  FROM hits h LEFT JOIN (SELECT source_row_number, max(place) AS places FROM places GROUP BY 1) USING (source_row_number) GROUP BY 1),
+found AS (SELECT source_row_number, enterprise_number, rules, rule_list, priority FROM places WHERE place <= 700)"""
+
+
+@_query(f"WITH {D.BASE}, {_found_sql()} SELECT source_row_number, enterprise_number, rules, priority FROM found")
+def candidate_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = blocking.candidates(D.derived_contacts(spark, sf_dir), D.derived_registry(spark, sf_dir), MatchConfig())
+    return found.select("source_row_number", "enterprise_number", F.size("rules").cast("long").alias("rules"), F.col("priority").cast("long").alias("priority"))
+
+
 # ---- similarity -----------------------------------------------------------------
 
 _PAIR = {"a": "concat(p_name, ' ', lower(p_type))", "b": "concat(lower(p_type), ' ', substring(p_name, 2, 9))"}
@@ -307,10 +326,52 @@ def token_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pairs(spark, sf_dir).select("a", "b").distinct().withColumn("ratio", F.round(_token_set("a", "b"), 6))
 
 
-@_query()
+def similarity_sql(pairs: str) -> str:
+    """Table expressions up to ``sims`` (l, r, combined, weighted, token_set, token_sort) of the texts ``pairs`` (l, r).
+
+    The longest common subsequence is bit-parallel on 128-bit integers, for texts of up to 120 characters.
+    """
+    window = "CASE WHEN k < 0 THEN substring(y, 1, k + n) ELSE substring(y, k + 1, n) END"
+    windows = f"SELECT DISTINCT id, x, {window} AS w FROM (SELECT *, unnest(range(1 - n, m)) AS k FROM both_ways)"
+    return f"""p0 AS (SELECT DISTINCT l, r FROM ({pairs}) WHERE l <> '' AND r <> '' AND l <> r),
+p1 AS (SELECT l, r, list_sort(string_split(l, ' ')) AS tl, list_sort(string_split(r, ' ')) AS tr FROM p0),
+p2 AS (SELECT *, list_sort(list_distinct(tl)) AS sl, list_sort(list_distinct(tr)) AS sr, greatest(length(l), length(r)) / least(length(l), length(r)) AS spread FROM p1),
+p3 AS (SELECT *, array_to_string(tl, ' ') AS ls, array_to_string(tr, ' ') AS rs, array_to_string(list_filter(sl, lambda t: list_contains(sr, t)), ' ') AS c,
+  array_to_string(list_filter(sl, lambda t: NOT list_contains(sr, t)), ' ') AS rl, array_to_string(list_filter(sr, lambda t: NOT list_contains(sl, t)), ' ') AS rr FROM p2),
+portions AS (SELECT DISTINCT l AS u, r AS v FROM p3 WHERE spread >= 1.5 UNION SELECT ls, rs FROM p3 WHERE spread >= 1.5 AND c = ''
+  UNION SELECT array_to_string(sl, ' '), array_to_string(sr, ' ') FROM p3 WHERE spread >= 1.5 AND c = '' AND (len(sl) <> len(tl) OR len(sr) <> len(tr))),
+sided AS (SELECT u, v, CASE WHEN length(u) <= length(v) THEN u ELSE v END AS x, CASE WHEN length(u) <= length(v) THEN v ELSE u END AS y FROM portions WHERE u <> '' AND v <> ''),
+both_ways AS (SELECT u || chr(1) || v AS id, x, y, length(x) AS n, length(y) AS m FROM sided WHERE strpos(y, x) = 0
+  UNION ALL SELECT u || chr(1) || v, y, x, length(y), length(x) FROM sided WHERE strpos(y, x) = 0 AND length(x) = length(y)),
+windows AS ({windows}),
+need AS (SELECT l AS x, r AS y FROM p3 UNION SELECT ls, rs FROM p3 UNION SELECT rl, rr FROM p3 WHERE rl <> '' AND rr <> '' UNION SELECT x, w FROM windows),
+masks AS (SELECT x, map_from_entries(list({{'k': ch, 'v': mask}})) AS m FROM (SELECT x, ch, sum(CAST(1 AS HUGEINT) << (i - 1)) AS mask FROM (SELECT x, unnest(string_split(x, '')) AS ch, unnest(range(1, length(x) + 1)) AS i FROM (SELECT DISTINCT x FROM need)) GROUP BY ALL) GROUP BY x),
+lcs AS (SELECT x, y, length(x) - bit_count(list_reduce(string_split(y, ''), lambda s, ch:
+    ((s + (s & coalesce(m[ch], 0::HUGEINT))) | (s - (s & coalesce(m[ch], 0::HUGEINT)))) & ((CAST(1 AS HUGEINT) << length(x)) - 1), (CAST(1 AS HUGEINT) << length(x)) - 1)) AS n FROM need JOIN masks USING (x)),
+best AS (SELECT id, max(200.0e0 * n / (length(lcs.x) + length(lcs.y))) AS ratio FROM windows w JOIN lcs ON w.x = lcs.x AND w.w = lcs.y GROUP BY id),
+parts AS (SELECT u, v, CASE WHEN u = '' OR v = '' THEN CASE WHEN u = v THEN 100.0e0 ELSE 0.0e0 END WHEN strpos(y, x) > 0 THEN 100.0e0 ELSE coalesce(ratio, 0.0e0) END AS ratio FROM (SELECT u, v, x, y FROM portions LEFT JOIN sided USING (u, v)) LEFT JOIN best ON id = u || chr(1) || v),
+p4 AS (SELECT p3.*, 200.0e0 * a.n / (length(l) + length(r)) AS indel, 200.0e0 * b.n / (length(ls) + length(rs)) AS token_sort,
+  length(c) + CAST(c <> '' AS INT) + length(rl) AS xl, length(c) + CAST(c <> '' AS INT) + length(rr) AS yl, length(rl) + length(rr) - 2 * coalesce(d.n, 0) AS distance, 200.0e0 * coalesce(d.n, 0) / greatest(1, length(rl) + length(rr)) AS rest
+  FROM p3 JOIN lcs a ON a.x = l AND a.y = r JOIN lcs b ON b.x = ls AND b.y = rs LEFT JOIN lcs d ON d.x = rl AND d.y = rr),
+p5 AS (SELECT *, CASE WHEN c <> '' AND (rl = '' OR rr = '') THEN 100.0e0 WHEN c = '' THEN rest ELSE greatest(100 - 100.0e0 * distance / (xl + yl), 100 - 100.0e0 * (1 + length(rl)) / (length(c) + xl), 100 - 100.0e0 * (1 + length(rr)) / (length(c) + yl)) END AS token_set FROM p4),
+p6 AS (SELECT p5.*, CASE WHEN spread <= 8 THEN 0.9e0 ELSE 0.6e0 END AS scale, q.ratio AS partial, CASE WHEN c <> '' THEN 100.0e0 ELSE greatest(t.ratio, coalesce(d.ratio, 0)) END AS partial_token
+  FROM p5 LEFT JOIN parts q ON q.u = l AND q.v = r LEFT JOIN parts t ON t.u = ls AND t.v = rs LEFT JOIN parts d ON (len(sl) <> len(tl) OR len(sr) <> len(tr)) AND d.u = array_to_string(sl, ' ') AND d.v = array_to_string(sr, ' ')),
+p7 AS (SELECT *, CASE WHEN spread < 1.5 THEN greatest(indel, 0.95e0 * greatest(token_sort, token_set)) ELSE greatest(indel, scale * partial, 0.95e0 * scale * partial_token) END AS weighted,
+  length(regexp_replace(l, '[^a-z0-9]', '', 'g')) AS cl, length(regexp_replace(r, '[^a-z0-9]', '', 'g')) AS cr FROM p6),
+sims AS (SELECT l, r, greatest(0.0e0, least(100.0e0, 0.45e0 * weighted + 0.35e0 * token_set + 0.20e0 * token_sort - CASE WHEN least(cl, cr) > 0 AND least(cl, cr) / greatest(cl, cr) < 0.45 AND least(cl, cr) < 8 THEN 12.0e0 ELSE 0.0e0 END)) AS combined, weighted, token_set, token_sort FROM p7
+  UNION ALL SELECT DISTINCT l, r, 100.0e0, 100.0e0, 100.0e0, 100.0e0 FROM ({pairs}) WHERE l = r AND l <> ''
+  UNION ALL SELECT DISTINCT l, r, 0.0e0, 0.0e0, 0.0e0, 0.0e0 FROM ({pairs}) WHERE l = '' OR r = '')"""
+
+
+# Texts of like and of very different lengths, with and without common tokens, repeated ones included.
+_LIKE = [(_PAIR["a"], _PAIR["b"]), (_PAIR["a"], "p_name"), ("p_name", "lower(p_type)"), ("concat(p_name, ' ', p_name, ' ', lower(p_type))", "trim(substring(p_name, 3, 4))"), (_PAIR["a"], "concat(trim(substring(lower(p_type), 2, 5)), ' ', trim(substring(lower(p_type), 2, 5)))")]
+
+
+@_query(f"WITH {similarity_sql(' UNION '.join(f'SELECT {a} AS l, {b} AS r FROM part' for a, b in _LIKE))} SELECT l AS a, r AS b, " + ", ".join(f"round({c}, 6) AS {c}" for c in ("combined", "weighted", "token_set", "token_sort")) + " FROM sims")
 def weighted_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _pairs(spark, sf_dir).select("a", "b").distinct().withColumn("s", S.similarity("a", "b"))
-    return df.select("a", "b", "s.combined", "s.weighted", "s.token_set", "s.token_sort")
+    part = D.part(spark, sf_dir)
+    df = part.select(F.explode(F.array(*[F.struct(F.expr(a).alias("a"), F.expr(b).alias("b")) for a, b in _LIKE])).alias("p")).select("p.*").distinct().withColumn("s", S.similarity("a", "b"))
+    return df.select("a", "b", *[F.round(f"s.{c}", 6).alias(c) for c in ("combined", "weighted", "token_set", "token_sort")])
 
 
 # ---- scoring --------------------------------------------------------------------
@@ -333,8 +394,7 @@ def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.withColumns({"name_wratio": F.lit(0.0), "name_token_set": F.lit(0.0), "name_token_sort": F.lit(0.0)})
 
 
-_SCORED = f"""
-f0 AS (SELECT {", ".join(f"{v} AS {k}" for k, v in _FEATURES.items())} FROM lineitem),
+_SCORING = f"""
 f1 AS (SELECT *, {", ".join(f"{_COMPONENT.format(m=f'{p}_match')} AS {p}_component" for p in ("house", "postcode", "box"))}, name_norm <> '' AND matched_name_norm <> '' AS has_name, name_norm <> '' AND name_norm = matched_name_norm AS same_name,
   street_norm <> '' AND r_street_norm <> '' AS has_street, city_norm <> '' AND r_city_norm <> '' AS has_city FROM f0),
 f2 AS (SELECT *,
@@ -350,6 +410,7 @@ f3 AS (SELECT *, CASE WHEN w = 0 THEN 0 ELSE p / w END * (0.58e0 + 0.42e0 * leas
   (name_raw >= 90 AND postcode_match = 'exact' AND house_match IN ('exact', 'same_numeric_base') AND street_sim >= 75) OR (name_norm = matched_name_norm AND frequency = 1 AND street_sim >= 88 AND (postcode_match = 'exact' OR city_sim >= 95)) OR (name_raw >= 87 AND street_sim >= 94 AND house_match = 'exact' AND postcode_match = 'exact') AS strong FROM f2),
 scored AS (SELECT *, CAST(round(CAST(greatest(0.0e0, least(100.0e0, least(raw, CASE WHEN NOT has_name THEN 1000 WHEN name_raw < 50 THEN 60 WHEN name_raw < 62 THEN 74 WHEN name_raw < 75 THEN 86 WHEN name_raw < 82 THEN 91 WHEN name_raw < 86 THEN 94 WHEN name_raw < 90 THEN 97 ELSE 1000 END, CASE WHEN hard > 0 THEN 84 ELSE 1000 END))) AS DECIMAL(18, 9)), 2) AS DOUBLE) AS score FROM f3)
 """
+_SCORED = f"f0 AS (SELECT {', '.join(f'{v} AS {k}' for k, v in _FEATURES.items())} FROM lineitem),{_SCORING}"
 
 
 @_query(f"WITH {_SCORED} SELECT source_row_number, enterprise_number, score, hard AS hard_contradictions, strong AS strong_evidence FROM scored")
@@ -379,17 +440,14 @@ _STATUS = f"CASE WHEN score >= 92 AND gap >= 8 AND {_CERTAIN_OK} THEN 'MATCH_CER
 
 def _ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Made-up candidates of made-up contacts (a thousand row numbers each), ranked."""
-    from pyspark.sql import Window as W
-
-    df = scoring.apply_score(_features(spark, sf_dir)).withColumn("contact", F.floor(F.col("source_row_number") / 1000))
-    w = W.partitionBy("contact").orderBy(F.col("score").desc(), "enterprise_number", "source_row_number")
-    df = df.withColumns({"rank": F.row_number().over(w).cast("long"), "second": F.coalesce(F.lead("score").over(w), F.lit(0.0))})
-    return df.withColumn("score_gap", F.round(F.col("score") - F.col("second"), 2))
+    df = scoring.apply_score(_features(spark, sf_dir)).withColumn("tie", F.col("source_row_number")).withColumn("source_row_number", F.floor(F.col("source_row_number") / 1000))
+    top = matcher.rank(df, MatchConfig().top_k, "tie")
+    return top.select(F.col("source_row_number").alias("contact"), F.col("candidate_rank").cast("long").alias("rank"), "enterprise_number", "score", "score_gap")
 
 
 @_query(f"WITH {_RANKED} SELECT contact, rank, enterprise_number, score FROM best WHERE rank <= 5")
 def top_k_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ranked(spark, sf_dir).where("rank <= 5").select("contact", "rank", "enterprise_number", "score")
+    return _ranked(spark, sf_dir).select("contact", "rank", "enterprise_number", "score")
 
 
 @_query(f"WITH {_RANKED} SELECT contact, score, gap FROM best WHERE rank = 1")
@@ -454,17 +512,86 @@ def recommend_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- the whole ------------------------------------------------------------------
 
 
-@_query()
+def _coded(left: str, right: str, base: str = "false") -> str:
+    return f"CASE WHEN {left} = '' AND {right} = '' THEN 'both_missing' WHEN {left} = '' THEN 'input_missing' WHEN {right} = '' THEN 'reference_missing' WHEN {left} = {right} THEN 'exact' WHEN {base} THEN 'same_numeric_base' ELSE 'mismatch' END"
+
+
+def _rounded(x: str) -> str:
+    return f"CAST(round(CAST({x} AS DECIMAL(18, 9)), 2) AS DOUBLE)"
+
+
+def _joined(entries: list[tuple[str, str]]) -> str:
+    """The texts whose conditions hold, in order."""
+    return "array_to_string(list_filter([" + ", ".join(f"CASE WHEN {cond} THEN {text} END" for cond, text in entries) + "], lambda t: t IS NOT NULL), ' | ')"
+
+
+_AGREE = "name_raw >= 90 AND postcode_match = 'exact' AND house_match = 'exact' AND street_sim >= 82"
+_REASONS = [
+    ("same_name", "'nom normalisé exact'"), ("same_name AND frequency = 1", "'nom exact unique dans la référence'"), ("same_name AND frequency BETWEEN 2 AND 5", "'nom exact partagé par ' || frequency || ' entreprises'"),
+    ("same_name AND frequency > 20", "'nom exact très fréquent (' || frequency || ' entreprises)'"), ("NOT same_name AND name_raw >= 95", "'nom quasi identique'"), ("NOT same_name AND name_raw >= 88 AND name_raw < 95", "'nom fortement similaire'"),
+    ("postcode_match = 'exact'", "'code postal exact'"), ("house_match = 'exact'", "'numéro de rue exact'"), ("house_match = 'same_numeric_base'", "'même base numérique de numéro de rue'"), ("street_sim >= 96", "'rue quasi exacte'"), ("city_sim >= 95", "'ville quasi exacte'"),
+    ("box_match = 'exact'", "'boîte exacte'"), (_AGREE, "'nom et adresse se confirment mutuellement'"), ("status = 'AC'", "'entreprise active dans la BCE'"), ("status NOT IN ('AC', '')", "'statut BCE non actif: ' || status"),
+]
+_CONTRADICTIONS = [("NOT same_name AND has_name AND name_raw < 50", "'nom très différent'"), ("postcode_match = 'mismatch'", "'code postal différent'"), ("house_match = 'mismatch'", "'numéro de rue différent'")]
+
+
+def matched_sql(wanted: str) -> str:
+    """Table expressions up to ``top``: the ranked candidates of the contacts that are ``wanted``, all steps of the matcher in SQL."""
+    pairs = " UNION ".join(f"SELECT {a} AS l, {b} AS r FROM joined" for a, b in (("name_norm", "matched_name_norm"), ("street_norm", "r_street_norm"), ("street_core", "r_street_core"), ("city_norm", "r_city_norm")))
+    return f"""{D.BASE}, todo AS (SELECT * FROM contacts WHERE {wanted}),
+{_found_sql("todo")},
+joined AS (SELECT f.source_row_number, f.enterprise_number, f.rule_list, c.name_norm, c.street_norm, c.street_core, c.house_norm, c.house_base, c.box_norm, c.postcode_norm, c.city_norm,
+  coalesce(n.name, '') AS matched_name, coalesce(n.name_norm, '') AS matched_name_norm, a.street_norm AS r_street_norm, a.street_core AS r_street_core, a.house_norm AS r_house_norm, a.house_base AS r_house_base, a.box_norm AS r_box_norm,
+  a.postcode AS r_postcode, a.city_norm AS r_city_norm, e.status, e.street_name AS r_street, e.house_number AS r_house_number, e.box_number AS r_box, e.city_name AS r_city
+  FROM found f JOIN todo c USING (source_row_number) LEFT JOIN names n ON n.enterprise_number = f.enterprise_number JOIN addresses a ON a.enterprise_number = f.enterprise_number JOIN ref0 e ON e.numero_entreprise = f.enterprise_number),
+{similarity_sql(pairs)},
+frequencies AS (SELECT name_norm, count(DISTINCT enterprise_number) AS frequency FROM names GROUP BY 1),
+f0 AS (SELECT j.*, n.combined AS name_raw, n.weighted AS name_wratio, n.token_set AS name_token_set, n.token_sort AS name_token_sort, greatest(s.combined, t.combined) AS street_sim, y.combined AS city_sim,
+  {_coded("house_norm", "r_house_norm", "house_base <> '' AND house_base = r_house_base")} AS house_match, {_coded("postcode_norm", "r_postcode")} AS postcode_match, {_coded("box_norm", "r_box_norm")} AS box_match, coalesce(q.frequency, 0) AS frequency
+  FROM joined j JOIN sims n ON n.l = j.name_norm AND n.r = matched_name_norm JOIN sims s ON s.l = street_norm AND s.r = r_street_norm JOIN sims t ON t.l = street_core AND t.r = r_street_core JOIN sims y ON y.l = city_norm AND y.r = r_city_norm
+  LEFT JOIN frequencies q ON q.name_norm = j.name_norm),
+{_SCORING},
+placed AS (SELECT *, row_number() OVER w AS rank, coalesce(lead(score) OVER w, 0) AS second FROM scored WINDOW w AS (PARTITION BY source_row_number ORDER BY score DESC, enterprise_number)),
+top AS (SELECT * REPLACE ({", ".join(f"{_rounded(c)} AS {c}" for c in ("name_wratio", "name_token_set", "name_token_sort"))}), round(score - second, 2) AS gap, {_rounded("name_raw")} AS name_score, {_rounded("street_sim")} AS street_score, {_rounded("city_sim")} AS city_score,
+  round(least(1.0e0, w), 3) AS evidence_coverage, {_joined(_REASONS)} AS reasons, {_joined(_CONTRADICTIONS)} AS contradictions, array_to_string(rule_list, ' | ') AS generation_rules FROM placed WHERE rank <= 5)"""
+
+
+_VALID = D.valid_sql("enterprise_number")
+_PAIR_COLUMNS = {"candidate_enterprise_number": "b.enterprise_number", "candidate_company_name": "b.matched_name", "candidate_street_name": "b.r_street", "candidate_house_number": "b.r_house_number", "candidate_box_number": "b.r_box", "candidate_postcode": "b.r_postcode", "candidate_city_name": "b.r_city"}
+
+
+def _result_sql() -> str:
+    zero = ", ".join(f"coalesce(b.{c}, 0) AS {n}" for c, n in (("score", "match_score"), ("second", "second_best_score"), ("gap", "score_gap"), *[(c, c) for c in ("name_score", "name_wratio", "name_token_set", "name_token_sort", "street_score", "city_score", "evidence_coverage")]))
+    text = ", ".join(f"coalesce({c}, '') AS {n}" for n, c in {"hard_contradictions": "b.contradictions", "match_reasons": "b.reasons", "candidate_generation_rules": "b.generation_rules", "house_match": "b.house_match", "box_match": "b.box_match", "postcode_match": "b.postcode_match", **_PAIR_COLUMNS}.items())
+    normal = ", ".join(f"c.{c} AS {n}" for n, c in {"normalised_company_name": "name_norm", "normalised_street": "street_norm", "normalised_house_number": "house_norm", "normalised_box": "box_norm", "normalised_postcode": "postcode_norm", "normalised_city": "city_norm"}.items())
+    return f"""WITH {matched_sql(f"NOT {_VALID}")},
+first_one AS (SELECT *, {_STATUS} AS match_status FROM top WHERE rank = 1),
+every AS (SELECT *, {_VALID} AS valid FROM contacts)
+SELECT c.source_row_number, c.contact_id AS source_id, CASE WHEN valid THEN 'SKIPPED_EXISTING_NUMBER' ELSE coalesce(b.match_status, 'NO_RELIABLE_MATCH') END AS match_status,
+  CASE WHEN b.match_status = 'MATCH_CERTAIN' THEN b.enterprise_number ELSE '' END AS automatic_enterprise_number, CASE WHEN b.match_status IN ('MATCH_CERTAIN', 'MATCH_PROBABLE') THEN b.enterprise_number ELSE '' END AS suggested_enterprise_number,
+  {zero}, coalesce(candidate_count, 0) AS candidate_count, coalesce(candidates_truncated, false) AS candidates_truncated, coalesce(b.strong, false) AS strong_evidence, {text},
+  {D.number_sql("c.enterprise_number")} AS existing_enterprise_number, valid AS existing_enterprise_number_valid, {normal}, '' AS match_error
+FROM every c LEFT JOIN first_one b USING (source_row_number) LEFT JOIN cuts USING (source_row_number)"""
+
+
+@_query(_result_sql())
 def match_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matcher.match(D.derived_contacts(spark, sf_dir), D.derived_registry(spark, sf_dir))[0]
 
 
-@_query()
+@_query(f"""WITH {matched_sql(f"NOT {_VALID}")}
+SELECT source_row_number, c.contact_id AS source_id, CAST(rank AS INTEGER) AS candidate_rank, b.enterprise_number, score, name_score, street_score, house_match, postcode_match, box_match, city_score, strong AS strong_evidence, contradictions AS hard_contradictions, reasons, generation_rules,
+  {", ".join(f"{v} AS {k}" for k, v in _PAIR_COLUMNS.items())} FROM top b JOIN todo c USING (source_row_number)""")
 def match_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matcher.match(D.derived_contacts(spark, sf_dir), D.derived_registry(spark, sf_dir))[1]
 
 
-@_query()
+@_query(f"""WITH {matched_sql(_VALID)}, known AS (SELECT source_row_number, {D.number_sql("enterprise_number")} AS truth FROM todo),
+among AS (SELECT source_row_number, list(enterprise_number) AS numbers FROM top GROUP BY 1)
+SELECT source_row_number, truth AS truth_enterprise_number, coalesce(b.enterprise_number, '') AS predicted_enterprise_number, coalesce(b.enterprise_number = truth, false) AS prediction_correct, coalesce(list_contains(numbers, truth), false) AS truth_in_top_k,
+  coalesce(match_status, 'NO_RELIABLE_MATCH') AS match_status, coalesce(score, 0) AS match_score, coalesce(gap, 0) AS score_gap, coalesce(name_score, 0) AS name_score, coalesce(street_score, 0) AS street_score, coalesce(house_match, '') AS house_match,
+  coalesce(postcode_match, '') AS postcode_match, coalesce(city_score, 0) AS city_score, coalesce(strong, false) AS strong_evidence, coalesce(hard, 0) AS hard_contradiction_count, coalesce(certain_ok, false) AS eligible_certain, coalesce(probable_ok, false) AS eligible_probable
+FROM known LEFT JOIN (SELECT *, {_STATUS} AS match_status, {_CERTAIN_OK} AS certain_ok, {_PROBABLE_OK} AS probable_ok FROM top WHERE rank = 1) b USING (source_row_number) LEFT JOIN among USING (source_row_number)""")
 def evaluation_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.evaluation_rows(evaluate.usable_truth(D.derived_contacts(spark, sf_dir)), D.derived_registry(spark, sf_dir), MatchConfig())
 

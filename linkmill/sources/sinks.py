@@ -47,9 +47,11 @@ def read_registry(spark: SparkSession, path: str) -> Registry:
 
 
 def inspect(spark: SparkSession, path: str) -> dict:
-    """Path, version, meta and row counts."""
+    """Path, size on disk, version, meta and row counts."""
     meta = read_meta(spark, path)
-    return {"path": path, "schema_version": meta.get("schema_version"), "meta": meta, "rows": {name: spark.read.parquet(f"{path}/{name}").count() for name in TABLES}}
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    return {"path": path, "size_bytes": size, "schema_version": meta.get("schema_version"), "meta": meta, "rows": {name: spark.read.parquet(f"{path}/{name}").count() for name in TABLES}}
 
 
 def _reference(row: int, col: int) -> str:

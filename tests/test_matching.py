@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from linkmill import cli
 from linkmill.config import MatchConfig
+from linkmill.functions import similarity
 from linkmill.functions.vocabulary import CONTACT_ALIASES, REFERENCE_ALIASES
 from linkmill.operators import contacts, evaluate, flatten, matcher, registry
 from linkmill.sources import sinks, tabular
+from linkmill.sources.workspace import stored
 from linkmill.streaming.contacts import match_stream
 
 REFERENCE = """numero_entreprise,nom_entreprise,street_name,house_number,box_number,postcode,city_name,status
@@ -41,13 +43,14 @@ def files(tmp_path_factory):
 @pytest.fixture(scope="module")
 def built(spark, files):
     df = tabular.read_reference(spark, str(files / "reference.csv"))
-    return registry.from_flat(df, tabular.resolve_columns(df.columns, REFERENCE_ALIASES))
+    r = registry.from_flat(df, tabular.resolve_columns(df.columns, REFERENCE_ALIASES))
+    return registry.Registry(stored(r.enterprise, "e"), stored(r.name, "n"), stored(r.address, "a"))  # as an index is
 
 
 @pytest.fixture(scope="module")
 def rows(spark, files):
     df = tabular.read_tabular(spark, str(files / "contacts.csv"))
-    return contacts.normalise(df, tabular.resolve_columns(df.columns, CONTACT_ALIASES))
+    return stored(contacts.normalise(df, tabular.resolve_columns(df.columns, CONTACT_ALIASES)), "c")
 
 
 @pytest.fixture(scope="module")
@@ -160,3 +163,67 @@ def test_stream(spark, built, files, tmp_path):
     columns = tabular.resolve_columns(stream.columns, CONTACT_ALIASES)
     match_stream(stream.fillna(""), columns, built, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out" / "results")).where("match_status = 'MATCH_CERTAIN'").count() == 3
+
+
+def test_a_row_that_raises_becomes_an_error_and_the_others_are_matched(spark, built, rows):
+    def score(a, b):
+        if "inconnue" in a or (a == "garage jean dupont" and b.startswith("garage")):
+            raise ValueError(f"cannot read {a!r}")
+        return similarity.scores(a, b)
+
+    result, candidates = matcher.match(rows, built, similarity=similarity.scorer(score))
+    got = {r["source_id"]: r for r in result.collect()}
+    failed = got["A2"]
+    assert (failed["match_status"], failed["match_error"]) == ("MATCH_ERROR", "cannot read 'garage jean dupont'")
+    assert (failed["match_score"], failed["candidate_count"], failed["suggested_enterprise_number"], failed["candidate_enterprise_number"]) == (0.0, 0, "", "")
+    plain = {r["source_id"]: r for r in matcher.match(rows, built)[0].collect()}
+    assert all(got[k] == plain[k] for k in ("A1", "A3", "A5", "A6")) and plain["A2"]["match_error"] == ""
+    assert failed["source_row_number"] not in {c["source_row_number"] for c in candidates.collect()}
+    assert matcher.fan_out(result)["errors"].count() == 1
+
+
+def test_row_numbers_are_positions(spark, tmp_path):
+    """In a workbook, in a file of many splits and in one with line breaks inside quotes, whatever the partitions."""
+    n = 3000
+    (tmp_path / "long.csv").write_text("name,k\n" + "".join(f"n{k},{k}\n" for k in range(n)))
+    (tmp_path / "quoted.csv").write_text("name,k\n" + "".join(f'"a\nb",{k}\n' for k in range(50)))
+    sinks.write_workbook(str(tmp_path / "w.xlsx"), {"s": spark.createDataFrame([(f"n{k}", str(k)) for k in range(8)], "name string, k string").coalesce(1)})
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+        for file, rows, parts in (("long.csv", n, 2), ("quoted.csv", 50, 1), ("w.xlsx", 8, 2)):
+            df = tabular.read_tabular(spark, str(tmp_path / file))
+            assert df.rdd.getNumPartitions() >= parts
+            got = tabular.numbered(df, "at").collect()
+            assert len(got) == rows and all(int(r["k"]) == r["at"] for r in got)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_workbook_rows_are_numbered_as_in_the_sheet(spark, files, tmp_path):
+    index = str(tmp_path / "index")
+    assert cli.main(["build-index", "--reference", str(files / "reference.csv"), "--index", index, "--chunk-size", "10", "--cache-mb", "5"], spark) == 0
+    df = tabular.read_tabular(spark, str(files / "contacts.csv"))
+    sinks.write_workbook(str(tmp_path / "c.xlsx"), {"s": df})
+    out = tmp_path / "out.xlsx"
+    assert cli.main(["match", "--input", str(tmp_path / "c.xlsx"), "--index", index, "--output", str(out), "--progress-every", "2"], spark) == 0
+    head, *body = tabular.workbook_sheets(str(out))["all_results"]
+    at, who = head.index("source_row_number"), head.index("reference")
+    assert {r[who]: r[at] for r in body} == {f"A{k}": str(k + 1) for k in range(1, 7)}
+    assert sinks.inspect(spark, index)["size_bytes"] > 1000
+
+
+def test_columns_resolve(tmp_path):
+    aliases = {"id": ["id", "reference"], "name": ["company name", "nom"], "city": ["city"]}
+    columns = ["Référence", "Nom", "NOM", "Ville"]
+    assert tabular.resolve_columns(columns, aliases) == {"id": "Référence", "name": "Nom", "city": None}
+    assert tabular.resolve_columns(columns, aliases, {"city": "ville", "name": "NOM", "other": "x"}) == {"id": "Référence", "name": "NOM", "city": "Ville"}
+    with pytest.raises(ValueError, match="'Stad' for city"):
+        tabular.resolve_columns(columns, aliases, {"city": "Stad"})
+    with pytest.raises(ValueError, match="city"):
+        tabular.resolve_columns(columns, aliases, required=("city", "name"))
+    (tmp_path / "map.json").write_text('{"city": "Ville", "name": null}')
+    assert tabular.parse_column_map(str(tmp_path / "map.json")) == tabular.parse_column_map('{"city": "Ville"}') == {"city": "Ville"}
+    assert tabular.parse_column_map(None) == {}
+    with pytest.raises(ValueError):
+        tabular.parse_column_map("[1]")
