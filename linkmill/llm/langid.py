@@ -290,7 +290,7 @@ def held_out(id_col: Column, folds: int = FOLDS) -> Column:
 
 
 #: Share of the way from chance to certainty that an accepted row's score has come.
-ABOVE_CHANCE = 1 / 3
+ABOVE_CHANCE = 1 / 5
 
 
 def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows_per_language: int = ROWS_PER_LANGUAGE, max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -> tuple[list[str], list[str]]:

@@ -46,7 +46,7 @@ MAGIC = b"WMX2"
 DIRECTORY = 512
 FRAME = 8192
 CACHE = 400_000
-BLOCK = 6_000_000
+BLOCK = 4_000_000
 TOKENIZER = "word_bpe_49k.json"
 
 

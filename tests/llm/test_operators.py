@@ -472,7 +472,7 @@ def test_language_of_odd_tables(odd_docs):
 def test_acceptance_is_relative_to_the_number_of_languages(spark):
     for languages in (1, 2, 3, 4, 12):
         chance = 1 / languages
-        assert langid.least_score(languages) == pytest.approx(chance + (1 - chance) / 3, abs=1e-5)
+        assert langid.least_score(languages) == pytest.approx(chance + (1 - chance) * langid.ABOVE_CHANCE, abs=1e-5)
     assert langid.least_score(1) < 1
     import random
 
