@@ -197,7 +197,7 @@ def contamination(
                         names=schema.names,
                     )
 
-        found = source.mapInArrow(run, schema)
+        found = source.mapInArrow(words.thrifty(run), schema)
         out = found if out is None else out.unionByName(found)
     return out
 

@@ -322,7 +322,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", carry: list[s
         names = np.array(model.languages or [UNKNOWN], object)
         for batch in batches:
             data, offsets = words.text_buffers(batch.column(text_col))
-            for lo, hi in words.row_blocks(offsets, words.BLOCK_BYTES // 2):
+            for lo, hi in words.row_blocks(offsets, words.BLOCK_BYTES):
                 off = offsets[lo : hi + 1] - offsets[lo]
                 own = data[offsets[lo] : offsets[hi]]
                 best, score = np.zeros(hi - lo, np.int64), np.zeros(hi - lo)
@@ -340,7 +340,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", carry: list[s
                 columns = [part.column(c) for c in carry]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(lang.tolist(), pa.string()), pa.array(np.where(ok, np.clip(score, 0, 1), 0.0))], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(words.thrifty(run), schema)
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

@@ -155,7 +155,7 @@ def encode_column(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = words.text_buffers(batch.column(1))
-            for lo, hi in words.row_blocks(offsets, 4 * words.BLOCK_BYTES):
+            for lo, hi in words.row_blocks(offsets, 16 * words.BLOCK_BYTES):
                 media = [encode_png(payload_of(data[offsets[i] : offsets[i + 1]].tobytes())) for i in range(lo, hi)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(np.diff(offsets[lo : hi + 1])), pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "media"])
 

@@ -120,7 +120,7 @@ def with_node(df: DataFrame, text: str, node: str) -> DataFrame:
                 part = batch.slice(block.first, block.rows)
                 yield pa.RecordBatch.from_arrays([*part.columns, _node_array(k1, k2, np.diff(block.at) > 0)], names=[*part.schema.names, node])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(node, T.BinaryType())]))
+    return df.mapInArrow(words.thrifty(run), T.StructType([*df.schema.fields, T.StructField(node, T.BinaryType())]))
 
 
 def signatures(docs: DataFrame, id_col: str, text: str, n: int, bands: int, rows: int) -> DataFrame:
@@ -140,7 +140,7 @@ def signatures(docs: DataFrame, id_col: str, text: str, n: int, bands: int, rows
                 )
 
     schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("node", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))])
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(words.thrifty(run), schema)
 
 
 def _gram_sets(texts: pa.Array, n: int) -> list[np.ndarray]:
@@ -184,7 +184,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, threshold: float) -> D
             keep = pa.array(sims >= threshold)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(2).filter(keep), pa.array(sims).filter(keep)], names=["a", "b", "jaccard"])
 
-    return both.mapInArrow(run, "a binary, b binary, jaccard double")
+    return both.mapInArrow(words.thrifty(run), "a binary, b binary, jaccard double")
 
 
 def _largest(placed: DataFrame, least: int, *more: Column) -> DataFrame:
@@ -303,7 +303,7 @@ def _in_blocks(rows: DataFrame, n: int, each: Callable[[Block], pa.RecordBatch |
         for r in pa.Table.from_batches(waiting).combine_chunks().to_batches() if waiting else ():
             yield from whole(r)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(words.thrifty(run), schema)
 
 
 PAIR = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType()), T.StructField("jaccard", T.DoubleType())])

@@ -437,7 +437,7 @@ def write_files(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: st
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("tie", F.xxhash64("text"))
     n = store.partitions(docs.sparkSession)
     ordered = rows.repartitionByRange(n, F.col("doc_id").asc_nulls_first(), "tie").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie", "text")
-    ordered.select("doc_id", "text").mapInArrow(run, schema).write.mode("overwrite").option("compression", "uncompressed").parquet(path)
+    ordered.select("doc_id", "text").mapInArrow(words.thrifty(run), schema).write.mode("overwrite").option("compression", "uncompressed").parquet(path)
 
 
 def read_files(files: DataFrame, id_type: T.DataType | None = None) -> DataFrame:
@@ -456,7 +456,7 @@ def read_files(files: DataFrame, id_type: T.DataType | None = None) -> DataFrame
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(own), batch.column(1).take(own), wm.owners, pa.array(starts), pa.array(lengths), pa.array(crc, pa.int64())], names=schema.names)
 
     schema = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("seq", T.LongType()), T.StructField("doc_id", id_type or T.LongType()), T.StructField("inside", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids_crc32", T.LongType())])
-    rows = files.select("part", "seq", "file").mapInArrow(run, schema)
+    rows = files.select("part", "seq", "file").mapInArrow(words.thrifty(run), schema)
     # The global order: parts, one row each, then the files inside a part.
     sizes = files.select("part", "seq", "n_tokens")
     parts = sizes.groupBy("part").agg(F.sum("n_tokens").alias("all")).withColumn("before", F.sum("all").over(W.orderBy("part")) - F.col("all"))
@@ -480,7 +480,7 @@ def occurrences(files: DataFrame, ids: list[int], id_type: T.DataType | None = N
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(places), symbol, np.int64)), owners.take(pa.array(document)), pa.array(places - starts[document])], names=["id", "doc_id", "place"])
 
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("doc_id", id_type or T.LongType()), T.StructField("place", T.LongType())])
-    return files.select("file").mapInArrow(run, schema)
+    return files.select("file").mapInArrow(words.thrifty(run), schema)
 
 
 def token_output(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, path: str | None = None) -> DataFrame:
