@@ -14,3 +14,27 @@ def test_no_text_is_taken_apart_for_a_pair(spark):
     """score_equality took the number out of both house numbers in every one of its pairs."""
     plan = catalog.queries()["score_equality"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "regexp" not in plan.lower() and "Join" in plan
+
+
+def test_equal_rows_are_compared_once_and_every_pair_is_listed(spark):
+    """score_equality compared house and box in every pair of a contact and an address, of copies as well."""
+    import itertools
+
+    from linkmill.operators import scoring
+
+    # (street, city, house, base, box): copies, missing values, and a street that only one side has; numbers on both sides of a list's end.
+    kinds = [("a", "x", "5", "5", ""), ("a", "x", "5a", "5", "1"), ("a", "x", "", "", "1"), ("a", "y", "5", "5", ""), ("", "", "7", "7", ""), ("b", "x", "5", "5", "")]
+    left = [(n * 400_000, *kinds[n % 6]) for n in range(40)]
+    right = [(n * 300_000 + 1, *kinds[n % 5]) for n in range(35)]
+    contacts = spark.createDataFrame(left, "source_row_number long, street_core string, city_norm string, house_norm string, house_base string, box_norm string")
+    addresses = spark.createDataFrame(right, "id long, street_core string, city_norm string, house_number_norm string, house_number_base string, box_norm string")
+
+    def code(a, b, same_base=False):
+        return "both_missing" if a == b == "" else "input_missing" if a == "" else "reference_missing" if b == "" else "exact" if a == b else "same_numeric_base" if same_base else "mismatch"
+
+    want = [(r, i, code(h, k, g != "" and g == f), code(b, d)) for (r, s, c, h, g, b), (i, t, e, k, f, d) in itertools.product(left, right) if (s, c) == (t, e)]
+    got = scoring.equalities(contacts, addresses)
+    assert sorted(map(tuple, got.collect())) == sorted(want) and len(want) > 200
+    # The plan is read from the result down: pairs are listed after the join with kinds of addresses, in which the codes are told.
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode(ids") < plan.index("both_missing") < plan.index("Join Inner") and plan.count("both_missing") == 2
