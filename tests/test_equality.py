@@ -75,3 +75,37 @@ def test_an_address_is_shuffled_once(spark):
     made = sum(size for _, size in shuffled() - before)
     # Numbers of 8 bytes before packing, dealt to places with their texts, listed by kind, and with their tile.
     assert 0 < made < 5 * 8 * 30_000
+
+
+def test_pairs_of_a_list_and_a_tile_are_never_held_at_once(spark):
+    """score_equality held all pairs of a list of equal contacts and a tile in memory, and collected garbage for most of its time."""
+    import re
+
+    from linkmill.operators import scoring
+
+    contacts = spark.createDataFrame([(i, "a", "x", "1", "1", "") for i in range(40)], "source_row_number long, street_core string, city_norm string, house_norm string, house_base string, box_norm string")
+    addresses = spark.createDataFrame([(i, "a", "x", "1", "1", "") for i in range(40)], "id long, street_core string, city_norm string, house_number_norm string, house_number_base string, box_norm string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else the plan lacks the marks of compiled stages
+    try:
+        plan = scoring.equalities(contacts, addresses)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert re.search(r"\*\(\d+\) Generate explode\(ids", plan) and re.search(r"Generate explode\((?:array_sort\()?rows#", plan)
+    assert not re.search(r"\*\(\d+\) Generate explode\((?:array_sort\()?rows#", plan)
+    # Many addresses get more tasks than few shuffle partitions have, so that a file names few of them.
+    tasks = lambda count: {int(n) for n in re.findall(r"RepartitionByExpression [^\n]*, (\d+)", scoring.equalities(contacts, addresses, count)._jdf.queryExecution().optimizedPlan().toString())}
+    assert max(tasks(0)) == 32 and max(tasks(204_800)) == 200
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
+def test_places_of_addresses_need_no_other_text(spark):
+    """score_equality shuffled and stored all columns of the registry's addresses."""
+    from linkmill.operators import registry
+    from linkmill.plans import derived as D
+
+    flat = D.reference(spark, FOLDER)
+    flat = flat.unionByName(flat.limit(50).selectExpr("seq + 100000 as seq", *[c for c in flat.columns if c != "seq"]))
+    own = registry.address_places(registry.flat_addresses(flat, D.REFERENCE_COLUMNS))
+    whole = registry.from_flat(flat, D.REFERENCE_COLUMNS).address.select(*own.columns)
+    assert sorted(map(tuple, own.collect())) == sorted(map(tuple, whole.collect())) and own.count() == 200
+    assert D.derived_addresses(spark, FOLDER)[1].columns == own.columns
